@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, source_mix, token_counts, token_files
+from . import bpe_codec, license_scan, source_mix, token_counts, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_codec": bpe_codec.op1_bpe_codec,
         "op5_source_mix": source_mix.op5_source_mix,
+        "op9_license_scan": license_scan.op9_license_scan,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
     }
@@ -21,4 +22,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_source_mix": source_mix.OP5_SQL,
+        "op9_license_scan": license_scan.OP9_SQL,
     }
