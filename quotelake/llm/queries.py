@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, license_scan, source_mix, token_counts, token_files
+from . import bpe_codec, license_scan, ngram_join, source_mix, token_counts, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe_codec": bpe_codec.op1_bpe_codec,
         "op5_source_mix": source_mix.op5_source_mix,
         "op9_license_scan": license_scan.op9_license_scan,
+        "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
     }
