@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, license_scan, ngram_join, source_mix, token_counts, token_files
+from . import bpe_codec, license_scan, ngram_join, source_mix, token_counts, token_files, vector_links
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_source_mix": source_mix.op5_source_mix,
         "op9_license_scan": license_scan.op9_license_scan,
         "op6_ngram_join": ngram_join.op6_ngram_join,
+        "op2_vector_links": vector_links.op2_vector_links,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
     }
