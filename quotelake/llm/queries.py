@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, license_scan, ngram_join, source_mix, token_counts, token_files, vector_links
+from . import bpe_codec, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": license_scan.op9_license_scan,
         "op6_ngram_join": ngram_join.op6_ngram_join,
         "op2_vector_links": vector_links.op2_vector_links,
+        "op3_quality": quality.op3_quality,
+        "op8_line_dedup": line_dedup.op8_line_dedup,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
     }
@@ -24,5 +26,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_source_mix": source_mix.OP5_SQL,
+        "op8_line_dedup": line_dedup.OP8_SQL,
         "op9_license_scan": license_scan.OP9_SQL,
     }
