@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
+from . import bpe_codec, image_copies, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_vector_links": vector_links.op2_vector_links,
         "op3_quality": quality.op3_quality,
         "op8_line_dedup": line_dedup.op8_line_dedup,
+        "op10_image_copies": image_copies.op10_image_copies,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
     }
