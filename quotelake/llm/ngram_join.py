@@ -272,9 +272,9 @@ def verified_edges(members: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def ngram_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``(id_col, node, n_shingles, component_id)`` of every row; texts link when ``100 * intersection >= percent * union``.
+    """``(id_col, node, root, n_shingles, component_id)`` of every row; texts link when ``100 * intersection >= percent * union``.
 
-    node: the text's 64-bit digest, null without shingles.
+    node: the text's 64-bit digest, null without shingles; root: that of its class.
     """
     spark = df.sparkSession
     text = F.col(text_col).cast("string")
@@ -299,12 +299,27 @@ def ngram_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = counted.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
     nodes = nodes.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(least, "root").select(F.col("node").alias("named"), "component_id")
-    linked = counted.where(F.col("node").isNotNull()).join(named, F.col("node") == F.col("named")).select("id", "node", "n_shingles", "component_id")
-    empty = counted.where(F.col("node").isNull()).select("id", "node", "n_shingles", F.col("id").alias("component_id"))
+    named = nodes.join(least, "root").select(F.col("node").alias("named"), "root", "component_id")
+    linked = counted.where(F.col("node").isNotNull()).join(named, F.col("node") == F.col("named")).select("id", "node", "root", "n_shingles", "component_id")
+    empty = counted.where(F.col("node").isNull()).select("id", "node", F.col("node").alias("root"), "n_shingles", F.col("id").alias("component_id"))
     return linked.unionByName(empty).withColumnRenamed("id", id_col)
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` without near copies: of each class the row of the least id (a null one last), once.
+
+    Rows without shingles all stay. Narrow rows choose; the texts are shuffled once.
+    """
+    classes = ngram_classes(df, id_col, text_col, k, percent)
+    named = classes.select(F.col(id_col).alias("id"), "node", "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
+    chosen = named.where(F.col("node").isNotNull()).groupBy("root").agg(first.alias("first")).select(F.col("first.id").alias("chosen_id"), F.col("first.node").alias("chosen"))
+    row = df.withColumn("__node", F.xxhash64(F.col(text_col).cast("string")))
+    kept = row.join(chosen, (F.col("__node") == F.col("chosen")) & F.col(id_col).eqNullSafe(F.col("chosen_id")), "left_semi").dropDuplicates(["__node"])
+    empty = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    return kept.unionByName(row.where(empty)).drop("__node")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of four-word shingles and its class at a similarity of 0.85."""
-    return ngram_classes(table(spark, sf_dir, "documents"), k=4, percent=85).drop("node")
+    return ngram_classes(table(spark, sf_dir, "documents"), k=4, percent=85).drop("node", "root")

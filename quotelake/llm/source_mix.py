@@ -102,6 +102,19 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return rows.select(F.col("id").alias(id_col), "text_hash", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def apply_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
+    """``df`` with each row as often as the mix takes it: not at all, once, or more often."""
+    mixed = mix_sources(df, id_col, text_col, source_col, **params)
+    n = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
+    # Rows alike in id and text are numbered, so that each meets one result.
+    mixed = mixed.select(F.xxhash64(F.col(id_col), "text_hash", source_col).alias("__row"), n.cast("int").alias("__n"))
+    mixed = mixed.withColumn("__k", F.row_number().over(Window.partitionBy("__row").orderBy("__n"))).where("__n > 0")
+    rows = df.withColumn("__row", F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("string")), source_col))
+    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy("__row").orderBy("__row")))
+    rows = rows.join(mixed, ["__row", "__k"]).withColumn("__n", F.explode(F.sequence(F.lit(1), "__n")))
+    return rows.select(*df.columns)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document."""
     return mix_sources(table(spark, sf_dir, "documents")).drop("text_hash", "source")
