@@ -2,10 +2,11 @@
 
 1. The document frequency of every n-gram is counted over all documents; the
    most frequent ones (at most ``HEAVY``) come last in the global order.
-2. Two texts that link share an n-gram among the first ``n - ceil(t n) + 1`` of
-   either's set in that order. Texts that share one are drawn to the least of
-   them, which keeps candidates linear in the input however many texts share
-   it, and candidates that hang together form a group.
+2. Two texts that link share n-grams among the first ones of either's set in
+   that order. Shared rare ones are counted per pair, part by part of the order,
+   and summed; texts that share a frequent one are drawn to the least of them,
+   which keeps candidates linear in the input however many texts share it.
+   Candidates that hang together form a group.
 3. Inside a group, sets are dealt to blocks of bounded size. For each pair of
    blocks the global n-gram order is cut into fragments; the overlaps of all
    pairs are counted fragment by fragment, as products of membership matrices,
@@ -41,6 +42,7 @@ from .shingles import shingles
 HEAVY = 1 << 20  # n-grams that may be called frequent: bounds what is broadcast (16 MB)
 FREQUENT = 8  # documents from which an n-gram counts as frequent
 FLUSH = 4_000_000  # n-grams that a task holds before it passes them on
+EXTRA = 20  # a set's first n-grams are this part of it more than one shared n-gram asks for
 BLOCK = 150_000  # n-grams of the sets in a block, about
 COLUMNS = 4096  # n-grams in a fragment of a pair of blocks
 
@@ -108,45 +110,69 @@ def frequent_ngrams(texts: DataFrame, k: int, bits: int) -> tuple[np.ndarray, np
     return rows["key"].to_numpy(np.uint64), rows["n"].to_numpy(np.int64)
 
 
-def prefix(grams: np.ndarray, keys: np.ndarray, counts: np.ndarray, percent: int, bits: int) -> np.ndarray:
-    """The first n-grams of a set in the global order: rare ones by hash, then frequent ones by frequency and hash."""
-    n = len(grams) - need(len(grams), percent) + 1
+def prefix(grams: np.ndarray, keys: np.ndarray, counts: np.ndarray, percent: int, bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The first n-grams of a set in the global order, which of them are frequent, and how many a link shares.
+
+    The order has rare ones by hash, then frequent ones by frequency and hash.
+    Of the first ``n - need + extra`` n-grams of two sets that link, at least the
+    lesser ``extra`` are in both.
+    """
+    n = len(grams)
+    extra = max(1, n // EXTRA)
+    length = n - need(n, percent) + extra
     if not len(keys):
-        return grams[:n]
+        return grams[:length], np.zeros(min(n, length), bool), extra
     key = grams >> np.uint64(32 - bits)
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
     often = np.where(keys[at] == key, counts[at], 0)
-    return grams[np.lexsort((grams, often))[:n]]
+    by = np.lexsort((grams, often))[:length]
+    return grams[by], often[by] > 0, extra
 
 
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted by key and node: which places are the first of their key, and for all others an edge to the first."""
     first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
     lead = np.flatnonzero(first)[np.cumsum(first) - 1] if len(keys) else np.zeros(0, np.int64)
-    edges = np.stack([nodes, nodes[lead]])[:, ~first]
+    edges = np.stack([nodes[lead], nodes])[:, ~first]
     edges = edges[:, edges[0] != edges[1]]
     return first, np.unique(edges, axis=1)
 
 
 def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``(u, v)``: texts drawn to the least text with which they share an n-gram of both prefixes."""
+    """``(u, v)``: pairs of texts that may link, or that hang together by others that may.
+
+    A rare n-gram is in fewer than ``FREQUENT`` documents: all pairs that share
+    it are counted, per bucket of n-grams, and the counts are summed per pair; a
+    pair that shares fewer than both sets' links would is dropped. A set with
+    frequent n-grams among its first ones can't be judged by that count; its
+    pairs all stay, and by each frequent n-gram it is drawn to the least text
+    that has it too, first inside a task, then between tasks.
+    """
     order = texts.sparkSession.sparkContext.broadcast((keys, counts))
     shift = np.uint64(32 - bits)
+    columns = ["low", "nodes", "least", "often", "often_nodes", "edges"]
 
-    def emit(held: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-        key, node = np.concatenate(held) >> shift, np.concatenate(nodes)
+    def emit(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, often, node, least = (np.concatenate(x) for x in zip(*held, strict=True))
+        key = key >> shift
         by = np.lexsort((node, key))
-        key, node = key[by], node[by]
-        first, edges = _stars(key, node)
-        key, node = key[first], node[first]
-        at, low = _deal(key, bits)
+        key, often, node, least = key[by], often[by], node[by], least[by]
+        first, edges = _stars(key[often], node[often])
         cuts = np.linspace(0, edges.shape[1], (1 << bits) + 1).astype(int)
-        rows = [(b, low[at[b] : at[b + 1]].tobytes(), node[at[b] : at[b + 1]].tobytes(), np.ascontiguousarray(edges[:, cuts[b] : cuts[b + 1]]).tobytes()) for b in range(1 << bits)]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "low", "nodes", "edges"])
+        at, low = _deal(key[~often], bits)
+        node_r, least_r = node[~often], least[~often].astype(np.uint16)
+        at_o, low_o = _deal(key[often][first], bits)
+        node_o = node[often][first]
+        out = {c: [] for c in columns}
+        for b in range(1 << bits):
+            s, t = slice(at[b], at[b + 1]), slice(at_o[b], at_o[b + 1])
+            for c, x in zip(columns, (low[s], node_r[s], least_r[s], low_o[t], node_o[t], np.ascontiguousarray(edges[:, cuts[b] : cuts[b + 1]])), strict=True):
+                out[c].append(x.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(range(1 << bits), pa.int32()), *[pa.array(out[c], pa.binary()) for c in columns]], names=["bucket", *columns])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = order.value
-        held, nodes, size = [], [], 0
+        held, size = [], 0
         for batch in batches:
             seen = set()
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -155,26 +181,38 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
                 seen.add(node)
                 grams = shingles(text.as_py(), k)
                 if len(grams):
-                    held.append(prefix(grams, keys, counts, percent, bits))
-                    nodes.append(np.full(len(held[-1]), node, np.int64))
-                    size += len(held[-1])
+                    first, often, extra = prefix(grams, keys, counts, percent, bits)
+                    least = 0 if often.any() else min(extra, 65_535)
+                    held.append((first, often, np.full(len(first), node, np.int64), np.full(len(first), least, np.int64)))
+                    size += len(first)
                 if size > FLUSH // 4:
-                    yield emit(held, nodes)
-                    held, nodes, size = [], [], 0
+                    yield emit(held)
+                    held, size = [], 0
         if size:
-            yield emit(held, nodes)
+            yield emit(held)
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        key = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["low"]])
-        node = np.concatenate([np.frombuffer(x, np.int64) for x in rows["nodes"]])
+        get = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows[c]])
+        key, node, least = get("low", np.uint32), get("nodes", np.int64), get("least", np.uint16).astype(np.int64)
+        by = np.lexsort((node, key))
+        key, node, least = key[by], node[by], least[by]
+        one = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1]))) if len(key) else np.zeros(0, bool)
+        key, node, least = key[one], node[one], least[one]
+        pairs, d = [np.zeros((3, 0), np.int64)], 1
+        while d < len(key) and (same := np.flatnonzero(key[d:] == key[:-d])).size:
+            pairs.append(np.stack([node[same], node[same + d], np.minimum(least[same], least[same + d])]))
+            d += 1
+        pairs, n = np.unique(np.concatenate(pairs, axis=1), axis=1, return_counts=True)
+        key, node = get("often", np.uint32), get("often_nodes", np.int64)
         by = np.lexsort((node, key))
-        edges = _stars(key[by], node[by])[1]
         local = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["edges"]]
-        edges = np.unique(np.concatenate([edges, *local], axis=1), axis=1)
-        return pd.DataFrame({"u": edges[0], "v": edges[1]})
+        stars = np.unique(np.concatenate([_stars(key[by], node[by])[1], *local], axis=1), axis=1)
+        zero = np.zeros(stars.shape[1], np.int64)
+        return pd.DataFrame({"u": np.concatenate([pairs[0], stars[0]]), "v": np.concatenate([pairs[1], stars[1]]), "least": np.concatenate([pairs[2], zero]), "n": np.concatenate([n, zero])})
 
-    dealt = texts.select("node", "text").mapInArrow(work, "bucket int, low binary, nodes binary, edges binary")
-    return dealt.groupBy("bucket").applyInPandas(join, "u long, v long").distinct()
+    dealt = texts.select("node", "text").mapInArrow(work, "bucket int, " + ", ".join(f"{c} binary" for c in columns))
+    counted = dealt.groupBy("bucket").applyInPandas(join, "u long, v long, least long, n long")
+    return counted.groupBy("u", "v").agg(F.min("least").alias("least"), F.sum("n").alias("n")).where(F.col("n") >= F.col("least")).select("u", "v")
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
