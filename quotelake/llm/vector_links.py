@@ -37,7 +37,7 @@ from .ngram_join import forest
 
 SAMPLE = 16_384  # nodes that the index is fitted on, the least digests
 SUBSPACES, CODES = 8, 64
-BLOCK = 512  # nodes of a list that are compared together
+BLOCK = 1024  # nodes of a list that are compared together, and a list's aimed-at size in the largest label
 PROBED = 4  # one of so many lists is probed, and at least LEAST
 LEAST = 16
 
@@ -99,14 +99,14 @@ class Index:
         return np.sqrt(np.maximum(out, 0))
 
 
-def fit(nodes: DataFrame) -> dict[int, Index]:
+def fit(nodes: DataFrame, block: int = BLOCK) -> dict[int, Index]:
     """An index for each vector length in the sample."""
     rows = nodes.select("node", "vector").orderBy("node").limit(SAMPLE).collect()
-    n = nodes.count()
+    most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    lists = int(np.clip(2 ** np.ceil(np.log2(max(1.0, most / block))), 1, SAMPLE // 16))
     out = {}
     for size in {len(r.vector) for r in rows}:
-        x = unit(np.array([r.vector for r in rows if len(r.vector) == size], np.float64))
-        out[size] = Index(x, int(np.clip(2 ** round(np.log2(max(1, n)) / 2 - 1), 1, SAMPLE // 16)))
+        out[size] = Index(unit(np.array([r.vector for r in rows if len(r.vector) == size], np.float64)), lists)
     return out
 
 
@@ -115,7 +115,7 @@ def usable(vector: F.Column) -> F.Column:
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93) -> DataFrame:
+def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, block: int = BLOCK) -> DataFrame:
     """``(id_col, n_links, component_id, kept)`` of every row; pairs link at a cosine of ``threshold`` or more."""
     vector = F.col(vector_col).cast("array<double>")
     rows = df.select(F.col(id_col).alias("id"), vector.alias("vector"), F.col(label_col).alias("label"))
@@ -123,7 +123,8 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     rows = rows.withColumn("node", F.when(good, F.xxhash64("label", F.transform("vector", lambda x: x + 0.0))))
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node", "label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
     nodes = cut(nodes, "vectors").withColumn("label", F.xxhash64("label"))
-    index = df.sparkSession.sparkContext.broadcast(fit(nodes))
+    index = df.sparkSession.sparkContext.broadcast(fit(nodes, block))
+    kind = "<f4" if df.schema[vector_col].dataType.elementType.simpleString() == "float" else "<f8"
     radius = np.float32(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-4)
 
     def of(size: int) -> Index:
@@ -134,12 +135,12 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             frame = batch.to_pandas()
             for size, part in frame.groupby(frame["vector"].map(len)):
                 own, probes, codes, missed = of(size).place(unit(np.stack(part["vector"].to_list())))
-                yield pa.RecordBatch.from_pandas(pd.DataFrame({"node": part["node"], "label": part["label"], "n": part["n"], "size": np.int32(size), "list": own.astype(np.int32), "probes": probes, "codes": [c.tobytes() for c in codes], "missed": missed, "vector": [np.asarray(v, "<f8").tobytes() for v in part["vector"]]}), schema=placed_arrow, preserve_index=False)
+                yield pa.RecordBatch.from_pandas(pd.DataFrame({"node": part["node"], "label": part["label"], "n": part["n"], "size": np.int32(size), "list": own.astype(np.int32), "probes": probes, "codes": [c.tobytes() for c in codes], "missed": missed, "vector": [np.asarray(v, kind).tobytes() for v in part["vector"]]}), schema=placed_arrow, preserve_index=False)
 
     placed_arrow = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("size", pa.int32()), ("list", pa.int32()), ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("missed", pa.float32()), ("vector", pa.binary())])
     placed = nodes.select("node", "label", "n", "vector").mapInArrow(place, "node long, label long, n long, size int, list int, probes array<int>, codes binary, missed float, vector binary")
     placed = cut(placed, "placed")
-    lists = placed.groupBy("label", "size", "list").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
+    lists = placed.groupBy("label", "size", "list").agg((F.floor(F.count(F.lit(1)) / block) + 1).alias("blocks"))
     dealt = placed.join(lists, ["label", "size", "list"]).withColumn("block", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
@@ -169,7 +170,7 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                 size, (a, b) = row["size"], ({c: row[f"{c}_{s}"] for c in ("list", *body)} for s in "ab")
                 for side in (a, b):
                     k = len(side["nodes"])
-                    side["x"] = unit(np.frombuffer(side["vectors"], "<f8").reshape(k, size))
+                    side["x"] = unit(np.frombuffer(side["vectors"], kind).reshape(k, size).astype(np.float64))
                     side["codes"] = np.frombuffer(side["codes"], np.uint8).reshape(k, -1)
                     side["missed"] = np.frombuffer(side["missed"], np.float32)
                     mask = np.unpackbits(np.frombuffer(side["mask"], np.uint8).reshape(k, -1), axis=1)
