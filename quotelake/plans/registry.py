@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+FAMILIES = ["q_book"]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    out: dict = {}
+    for family in FAMILIES:
+        out |= import_module(f"{__package__}.{family}").Q
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out: dict = {}
+    for family in FAMILIES:
+        out |= import_module(f"{__package__}.{family}").SQL
+    return out
