@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["q_book", "q_scalars"]
+FAMILIES = ["q_book", "q_scalars", "q_tiering"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

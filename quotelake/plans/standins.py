@@ -30,7 +30,7 @@ _MARKETS = """
 SELECT concat('m', CAST(o_orderkey AS {text})) AS external_id, o_orderkey, o_custkey AS event_id,
        o_orderstatus IN ('O', 'P') AS active, o_orderstatus = 'F' AS closed, false AS archived,
        o_orderstatus = 'O' OR o_orderpriority <> '5-LOW' AS accepting, o_orderkey % 7 <> 0 AS book,
-       CAST(round(o_totalprice / power(10, o_orderkey % 8), 2) AS DECIMAL(18, 2)) AS liquidity,
+       CAST(floor(o_totalprice / power(10, o_orderkey % 8)) AS DECIMAL(18, 2)) AS liquidity,
        CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS DECIMAL(18, 2)) ELSE CAST(coalesce(price_sum, 0) % 1000 AS DECIMAL(18, 2)) END AS volume_24h,
        CASE WHEN o_orderkey % 2 = 1 THEN CAST(coalesce(discounts / lines, 0) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS spread,
        o_orderpriority = '1-URGENT' AS rewards, tokens, coalesce(n_tokens, 0) AS n_tokens, o_orderdate AS open_time, {close} AS close_time
