@@ -44,6 +44,7 @@ FREQUENT = 8  # documents from which an n-gram counts as frequent
 FLUSH = 4_000_000  # n-grams that a task holds before it passes them on
 EXTRA = 20  # a set's first n-grams are this part of it more than one shared n-gram asks for
 BLOCK = 150_000  # n-grams of the sets in a block, about
+FILTER_BITS = 1 << 27  # of the bitmap that candidates are filtered by (16 MB)
 COLUMNS = 4096  # n-grams in a fragment of a pair of blocks
 
 
@@ -58,11 +59,21 @@ def _deal(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return edges, keys.astype(np.uint32)
 
 
+def squeeze(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as steps, split by bytes, of which compression removes the empty ones."""
+    return np.ascontiguousarray(np.diff(ascending, prepend=np.uint32(0)).astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1), dtype=np.uint32)
+
+
 def frequent_ngrams(texts: DataFrame, k: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (the top ``32 + bits`` bits of the hash) and document frequencies of the most frequent n-grams, by key.
 
     Counts cover all documents. A task passes on each key once with its count,
-    4 bytes for most; keys are dealt by their top bits, so no key is hot.
+    about 3 bytes for most; keys are dealt by their top bits, so no key is hot.
     """
     shift = np.uint64(32 - bits)
 
@@ -74,7 +85,7 @@ def frequent_ngrams(texts: DataFrame, k: int, bits: int) -> tuple[np.ndarray, np
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([b for b, _ in parts], pa.int32()),
-                pa.array([low[s].tobytes() for _, s in parts], pa.binary()),
+                pa.array([squeeze(low[s]) for _, s in parts], pa.binary()),
                 pa.array([np.stack([m, counts[s][m]]).astype(np.uint32).tobytes() for m, (_, s) in zip(many, parts, strict=True)], pa.binary()),
             ],
             names=["bucket", "low", "more"],
@@ -95,7 +106,7 @@ def frequent_ngrams(texts: DataFrame, k: int, bits: int) -> tuple[np.ndarray, np
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         low, counts = [], []
         for a, b in zip(rows["low"], rows["more"], strict=True):
-            low.append(np.frombuffer(a, np.uint32))
+            low.append(unsqueeze(a))
             n = np.ones(len(low[-1]), np.int64)
             at, many = np.frombuffer(b, np.uint32).reshape(2, -1)
             n[at] = many
@@ -167,7 +178,7 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
         for b in range(1 << bits):
             s, t = slice(at[b], at[b + 1]), slice(at_o[b], at_o[b + 1])
             for c, x in zip(columns, (low[s], node_r[s], least_r[s], low_o[t], node_o[t], np.ascontiguousarray(edges[:, cuts[b] : cuts[b + 1]])), strict=True):
-                out[c].append(x.tobytes())
+                out[c].append(squeeze(x) if x.dtype == np.uint32 else x.tobytes())
         return pa.RecordBatch.from_arrays([pa.array(range(1 << bits), pa.int32()), *[pa.array(out[c], pa.binary()) for c in columns]], names=["bucket", *columns])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +203,7 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
             yield emit(held)
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        get = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows[c]])
+        get = lambda c, t: np.concatenate([unsqueeze(x) if t == np.uint32 else np.frombuffer(x, t) for x in rows[c]])
         key, node, least = get("low", np.uint32), get("nodes", np.int64), get("least", np.uint16).astype(np.int64)
         by = np.lexsort((node, key))
         key, node, least = key[by], node[by], least[by]
@@ -257,56 +268,80 @@ def _sets(sizes: list[int], data: bytes) -> list[np.ndarray]:
     return np.split(np.frombuffer(data, np.uint64), np.cumsum(sizes)[:-1])
 
 
-def verified_edges(members: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links ``(u, v)`` inside the groups of ``members`` (node, grp, text): a spanning forest for each pair of blocks."""
+def links_within(nodes: list[int], a: list[np.ndarray], split: int, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets; split: if not 0, only between the first ``split`` sets and the others."""
+    n = np.array([len(x) for x in a])
+    first, second = (slice(0, split), slice(split, None)) if split else (slice(None), slice(None))
+    common = overlaps(a[first], a[second])
+    linked = 100 * common >= percent * (n[first][:, None] + n[second][None, :] - common)
+    if split:
+        whole = np.zeros((len(n),) * 2, bool)
+        whole[:split, split:] = linked
+        linked = whole | whole.T
+    else:
+        np.fill_diagonal(linked, False)
+    return [(nodes[x], nodes[y]) for x, y in forest(linked)]
+
+
+def filter_rows(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in ``members``: a bitmap of a fixed size is broadcast, so few other rows are shuffled after it."""
+    place = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    words = members.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("m")).toPandas()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64)
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+    at = df.columns.index(key)
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text.as_py(), k) for text in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "grp", "n", "grams"])
+            p = np.mod(batch.column(at).to_numpy(zero_copy_only=False), FILTER_BITS)
+            yield batch.filter(pa.array((shared.value[p >> 6] >> (p & 63)) & 1 == 1))
+
+    return df.mapInArrow(work, df.schema)
 
-    sets = cut(members.select("node", "grp", "text").mapInArrow(to_sets, "node long, grp long, n int, grams binary").where("n > 0"), "sets")
-    groups = sets.groupBy("grp").agg((F.floor(F.sum("n") / BLOCK) + 1).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = sets.join(groups, "grp").withColumn("block", block)
+
+def verified_edges(texts: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links ``(u, v)`` inside the groups: a spanning forest for each pair of blocks.
+
+    texts: ``node, row, text``; groups: ``node, grp``. Narrow rows choose the one
+    row that stands for all copies of a text, and the block; only the chosen
+    texts are shuffled. Groups of one block are tested where they are gathered.
+    """
+    chosen = texts.groupBy("node").agg(F.min(F.struct("row", F.length("text").alias("chars"))).alias("one")).join(groups, "node").select("node", "grp", "one.*")
+    sizes = chosen.groupBy("grp").agg((F.floor(F.sum("chars") / (6 * BLOCK)) + 1).cast("int").alias("blocks"))
+    chosen = chosen.join(sizes, "grp").select("row", "grp", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    chosen = cut(chosen, "candidates")
+    members = filter_rows(texts, chosen, "row").join(chosen, "row")
+    columns = ["u", "v", "grp", "block", "blocks", "nodes", "sizes", "grams"]
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("node")
-        return pd.DataFrame({"grp": rows["grp"].iloc[:1], "block": rows["block"].iloc[:1], "blocks": rows["blocks"].iloc[:1], "nodes": [rows["node"].tolist()], "sizes": [rows["n"].tolist()], "grams": [b"".join(rows["grams"])]})
-
-    kind = "nodes array<long>, sizes array<int>, grams binary"
-    blocks = dealt.groupBy("grp", "block").applyInPandas(gather, f"grp long, block int, blocks int, {kind}")
-    blocks = cut(blocks, "blocks")
-    many = blocks.where("blocks > 1")
-    pairs = many.select("grp", *[F.col(c).alias(f"{c}_a") for c in ("block", "nodes", "sizes", "grams")], F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
+        sets = [shingles(text, k) for text in rows["text"]]
+        some = [i for i, x in enumerate(sets) if len(x)]
+        nodes, sets = [int(rows["node"].iloc[i]) for i in some], [sets[i] for i in some]
+        edges = links_within(nodes, sets, 0, percent) if sets else []
+        none = dict.fromkeys(columns)
+        out = [none | {"u": u, "v": v} for u, v in edges]
+        blocks = int(rows["blocks"].iloc[0])
+        if blocks > 1 and sets:
+            out.append(none | {"grp": int(rows["grp"].iloc[0]), "block": int(rows["block"].iloc[0]), "blocks": blocks, "nodes": nodes, "sizes": [len(x) for x in sets], "grams": np.concatenate(sets).tobytes()})
+        return pd.DataFrame(out, columns=columns, dtype=object)
+
+    found = members.groupBy("grp", "block").applyInPandas(gather, "u long, v long, grp long, block int, blocks int, nodes array<long>, sizes array<int>, grams binary")
+    found = cut(found, "links")
+    many = found.where("grp IS NOT NULL")
+    left = many.select("grp", *[F.col(c).alias(f"{c}_a") for c in ("nodes", "sizes", "grams")], "block", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
     right = many.select("grp", F.col("block").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("nodes", "sizes", "grams")])
-    columns = ["nodes_a", "sizes_a", "grams_a", "nodes_b", "sizes_b", "grams_b"]
-    pairs = pairs.where("other > block_a").join(right, ["grp", "other"]).select(*columns)
-    alone = blocks.select(*[F.col(c).alias(f"{c}_a") for c in ("nodes", "sizes", "grams")], *[F.lit(None).cast(t).alias(f"{c}_b") for c, t in (("nodes", "array<long>"), ("sizes", "array<int>"), ("grams", "binary"))])
+    pairs = left.where("other > block").join(right, ["grp", "other"]).select("nodes_a", "sizes_a", "grams_a", "nodes_b", "sizes_b", "grams_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = [], []
             for row in range(batch.num_rows):
                 nodes, sizes, data, nodes_b, sizes_b, data_b = (batch.column(i)[row].as_py() for i in range(6))
-                a, n = _sets(sizes, data), np.array(sizes)
-                b, m = (a, n) if nodes_b is None else (_sets(sizes_b, data_b), np.array(sizes_b))
-                common = overlaps(a, b)
-                linked = 100 * common >= percent * (n[:, None] + m[None, :] - common)
-                if nodes_b is None:
-                    np.fill_diagonal(linked, False)
-                else:
-                    whole = np.zeros((len(n) + len(m),) * 2, bool)
-                    whole[: len(n), len(n) :] = linked
-                    whole[len(n) :, : len(n)] = linked.T
-                    linked, nodes = whole, nodes + nodes_b
-                for x, y in forest(linked):
-                    us.append(nodes[x])
-                    vs.append(nodes[y])
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
-    # A few blocks make a batch: they are of bounded size, but not small.
-    return alone.unionByName(pairs).repartition(F.xxhash64("nodes_a", "nodes_b")).mapInArrow(verify, "u long, v long")
+                edges = links_within(nodes + nodes_b, _sets(sizes, data) + _sets(sizes_b, data_b), len(nodes), percent)
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in edges], pa.int64()), pa.array([v for _, v in edges], pa.int64())], names=["u", "v"])
+
+    return found.where("u IS NOT NULL").select("u", "v").unionByName(pairs.mapInArrow(verify, "u long, v long"))
 
 
 def ngram_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -321,10 +356,7 @@ def ngram_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bits = max(8, int(np.ceil(np.log2(4 * max(1, texts.rdd.getNumPartitions())))))
     keys, counts = frequent_ngrams(texts, k, bits)
     groups = components(candidate_edges(texts, k, percent, bits, keys, counts)).withColumnRenamed("root", "grp")
-    # One row stands for all copies of a text; only narrow rows are grouped to find it.
-    chosen = texts.groupBy("node").agg(F.min("row").alias("row")).join(groups, "node")
-    members = texts.select("row", "text").join(cut(chosen, "candidates"), "row")
-    classes = components(verified_edges(members, k, percent))
+    classes = components(verified_edges(texts.select("node", "row", "text"), groups, k, percent))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
