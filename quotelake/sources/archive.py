@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA_VERSION = 2
-UPDATES = T.StructType.fromDDL("market_key long, token_key long, connection_id long, received_ts_ns long, side int, action int, price_mantissa long, price_scale int, size_mantissa long, size_scale int")
+_LONGS = ("market_key", "token_key", "connection_id", "received_ts_ns", "price_mantissa", "size_mantissa")
+UPDATES = T.StructType([T.StructField(c, T.LongType() if c in _LONGS else T.IntegerType()) for c in ("market_key", "token_key", "connection_id", "received_ts_ns", "side", "action", "price_mantissa", "price_scale", "size_mantissa", "size_scale")])
 NANOS_PER_HOUR = 3_600_000_000_000
 
 
