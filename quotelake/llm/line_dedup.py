@@ -49,13 +49,13 @@ def drop_boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = df.select(row.alias("row"), F.col(site_col).cast("string").alias("site"), F.explode(lines_of(F.col(text_col))).alias("text"))
     lines = cut(lines.where(F.trim("text") != "").select("row", "site", F.xxhash64("text").alias("line")), "lines")
     found = lines.select("row", "line").join(boilerplate(lines.select("line", "site"), min_sites), "line")
-    gone = found.groupBy("row").agg(F.collect_set("line").alias("gone")).withColumnRenamed("row", "gone_row")
-    joined = df.select(*columns, row.alias("own_row")).join(gone, F.col("own_row") == F.col("gone_row"), "left")
+    gone = found.groupBy("row").agg(F.collect_set("line").alias("__gone")).withColumnRenamed("row", "__gone_row")
+    joined = df.select(*columns, row.alias("__own_row")).join(gone, F.col("__own_row") == F.col("__gone_row"), "left")
     whole = lines_of(F.col(text_col))
-    kept = F.filter(whole, lambda x: (F.trim(x) == "") | ~F.array_contains("gone", F.xxhash64(x)))
-    clean = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(whole, lambda x: (F.trim(x) == "") | ~F.array_contains("__gone", F.xxhash64(x)))
+    clean = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.coalesce(F.size(whole), F.lit(0)).cast("long")
-    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size(whole) - F.size(kept)).cast("long")
+    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size(whole) - F.size(kept)).cast("long")
     return joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in columns], n_lines.alias("n_lines"), removed.alias("n_removed"))
 
 

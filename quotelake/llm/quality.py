@@ -83,7 +83,7 @@ class Space:
         weight = np.maximum(np.take_along_axis(cosines, near, 1), 0) ** 4
         total = weight.sum(axis=1)
         vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
-        return np.clip(np.where(total > 1e-6, vote, self.share), 0, 1).astype(np.float64)
+        return np.clip(np.where(total > 1e-6, vote.astype(np.float64), self.share), 0, 1)
 
 
 def held_out(id_: F.Column) -> F.Column:

@@ -36,7 +36,7 @@ def n_words(text: Column) -> Column:
 
 def quality_weight(text: Column, size: Column) -> Column:
     """1 to 2: higher for texts whose words have the length of words and which lie between 50 and 20,000 words."""
-    mean = F.length(text) / F.greatest(size, F.lit(1))
+    mean = F.coalesce(F.length(text), F.lit(0)) / F.greatest(size, F.lit(1))
     return 1 + 0.5 * mean.between(3, 10).cast("double") + 0.5 * size.between(50, 20_000).cast("double")
 
 
