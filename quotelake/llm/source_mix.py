@@ -27,6 +27,7 @@ from .common import cut, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
+FEW_SOURCES = 100_000  # up to so many sources their table (some 100 bytes a row) is broadcast
 RANGE_ROWS = 2000  # documents that a range of keys holds, about
 
 
@@ -75,19 +76,21 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """``(id_col, text_hash, source, size, source_size, target, taken)`` of every row.
 
     One pass over the texts writes ids, sizes and keys to the shared folder;
-    only these are shuffled. The joins have no hint: the sides with a row a
-    source and a row a range are broadcast when Spark measures them as small.
+    only these are shuffled. The table with a row a source is broadcast if it
+    was counted to have few rows; otherwise Spark chooses the join.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("size", n_words(F.col("text")))
     rows = rows.select("id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("skey"), "size", sampling_key(F.col("id"), F.col("text"), F.col("size")).alias("key"), F.xxhash64("text").alias("text_hash"))
     rows = cut(rows, "mix-sizes")
     sums = rows.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    sums = cut(sums, "mix-sources")
+    small = F.broadcast if sums.count() <= FEW_SOURCES else lambda df: df
     mix = targets(sums, weights, epochs, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     mix = mix.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     mix = mix.select("skey", "source_size", "target", "whole", "rest", (F.floor(F.col("n") / RANGE_ROWS) + 1).alias("ranges"))
-    rows = rows.join(mix, "skey")
+    rows = rows.join(small(mix), "skey")
     # 1 - exp(-1.5 key) rises with the key and lies in 0 to 1: the number of its range.
     rows = rows.withColumn("part", F.floor((1 - F.exp(-1.5 * F.col("key"))) * F.col("ranges")))
     over = Window.partitionBy("skey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

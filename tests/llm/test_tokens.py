@@ -77,6 +77,10 @@ def test_files_give_the_library_s_ids_in_order(spark, tmp_path):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+    with open(public_tokenizers.path(token_files.TOKENIZER), encoding="utf-8") as f:
+        encoder = token_files.Encoder(f.read())
+    many = adversarial()
+    assert encoder.encode(many) == [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(many, add_special_tokens=False)]
 
 
 def test_empty_tables(spark, tmp_path):
