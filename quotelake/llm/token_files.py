@@ -69,8 +69,19 @@ def unpack(data: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return out.reshape(-1)[start - 8 * low : stop - 8 * low].astype("<u4")
 
 
+def byte_characters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
+
+
 class Encoder:
-    """The tokenizers library with what it gave for short pre-tokens kept."""
+    """The tokenizers library with what it gave for short pre-tokens kept.
+
+    Pre-tokens go to the library's model directly, which spares its records of
+    offsets and masks; texts that need more than the model go to it whole.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -81,16 +92,25 @@ class Encoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.texts = TextEncoder(public_tokenizers.PATTERN, self._batch, lambda text: self._batch([text])[0])
+        self.tokenize, self.chars = self.tokenizer.model.tokenize, byte_characters()
+        self.texts = TextEncoder(public_tokenizers.PATTERN, self._pieces, self._whole, limit=700_000)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        out = []
+        for piece in pieces:
+            ids = [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.chars))]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
 
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Texts that hold an added token's string go to the library whole."""
         whole = [any(s in x for s in self.special) for x in texts]
         rest = iter(self.texts.encode([x for x, w in zip(texts, whole, strict=True) if not w]))
-        return [self._batch([x])[0] if w else next(rest) for x, w in zip(texts, whole, strict=True)]
+        return [self._whole(x) if w else next(rest) for x, w in zip(texts, whole, strict=True)]
 
 
 _ENCODERS: dict[int, Encoder] = {}
