@@ -18,10 +18,13 @@ SIZE = "decimal(38,6)"
 
 
 def distinct_levels(levels: Column) -> Column:
-    """Levels of one snapshot: those with a size, of a repeated (side, price) the last."""
-    numbered = F.filter(levels, lambda x: (x["size"] > 0) & x["price"].isNotNull() & x["side"].isin(BUY, SELL))
-    later = lambda x, i: F.exists(F.slice(numbered, i + 2, F.size(numbered)), lambda y: (y["side"] == x["side"]) & (y["price"] == x["price"]))
-    return F.filter(numbered, lambda x, i: ~later(x, i))
+    """Levels of one snapshot: those with a size, of a repeated (side, price) the last. One sort of the array."""
+    usable = F.filter(levels, lambda x: (x["size"] > 0) & x["price"].isNotNull() & x["side"].isin(BUY, SELL))
+    placed = F.array_sort(F.transform(usable, lambda x, i: F.struct(x["side"].alias("side"), x["price"].alias("price"), i.alias("i"), x["size"].alias("size"))))
+    repeated = lambda s, x, i: F.coalesce((F.get(s, i + 1)["side"] == x["side"]) & (F.get(s, i + 1)["price"] == x["price"]), F.lit(False))
+    # The sorted array is bound to a variable, or it would be sorted again for each level.
+    last = F.get(F.transform(F.array(placed), lambda s: F.filter(s, lambda x, i: ~repeated(s, x, i))), F.lit(0))
+    return F.transform(last, lambda x: F.struct(x["side"].alias("side"), x["price"].alias("price"), x["size"].alias("size")))
 
 
 def with_epochs(events: DataFrame) -> DataFrame:
