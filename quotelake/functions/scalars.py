@@ -158,3 +158,8 @@ def selectors(external_id: Column, exchange: str, *others: Column) -> Column:
     """All names under which a market may be listed."""
     names = F.array(external_id, F.concat(F.lit(exchange + ":"), external_id), *others)
     return F.array_distinct(F.array_compact(names))
+
+
+def keep_keys(payload: Column, *keys: str) -> Column:
+    """A JSON object reduced to the named keys; nulls are left out."""
+    return F.to_json(F.struct(*[F.get_json_object(payload, f"$.{k}").alias(k) for k in keys]))

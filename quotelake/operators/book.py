@@ -122,6 +122,11 @@ def book_metrics(levels: DataFrame, *keys: str) -> DataFrame:
     return out.withColumns({"spread": spread, "spread_bps": bps, "imbalance": skew})
 
 
+def not_crossed(metrics: DataFrame) -> DataFrame:
+    """Books whose spread isn't negative; one with an empty side stays."""
+    return metrics.where(F.col("spread").isNull() | (F.col("spread") >= 0))
+
+
 def serialise_side(levels: DataFrame, side: int) -> DataFrame:
     """``token_key, text``: the levels of a side as ``price:size``, the best first."""
     sign = -1 if side == BUY else 1

@@ -85,6 +85,10 @@ def events(raw: DataFrame) -> DataFrame:
     return raw.select(_get("id").alias("external_id"), s.first_present(F.col("payload"), "title", "ticker", "id").alias("title"), status.alias("status"), start.alias("start_time"), F.when(start.isNull() | (end >= start), end).alias("end_time"))
 
 
+def tags(raw: DataFrame) -> DataFrame:
+    return raw.select(_get("id").alias("tag_id"), s.first_present(F.col("payload"), "label", "name", "slug", "id").alias("name"))
+
+
 def nested_markets(raw: DataFrame, order: str) -> DataFrame:
     """Active, open events, their markets exploded; active markets; the last row of an id wins."""
     live = raw.where(_flag("active", False) & ~_flag("closed", False))

@@ -36,6 +36,14 @@ def _next(state: Column, x: Column, step: int) -> Column:
     return F.struct(F.when(take, x["__us"]).otherwise(state["last"]).alias("last"), F.when(take, F.concat(state["keep"], F.array(state["i"]))).otherwise(state["keep"]).alias("keep"), (state["i"] + 1).alias("i"))
 
 
+def observe_on_change(rows: DataFrame, key: list[str], tick: str, state: str, heartbeat: int) -> DataFrame:
+    """Of states on a grid of ticks, changes since the tick before and heartbeats: ``key, tick, state, kind``."""
+    at = Window.partitionBy(*key).orderBy(tick)
+    changed = ~F.col(state).eqNullSafe(F.lag(state).over(at)) | (F.row_number().over(at) == 1)
+    rows = rows.withColumn("kind", F.when(changed, "change").otherwise("heartbeat"))
+    return suppress_unchanged(rows, key, [tick], state, heartbeat).select(*key, tick, state, "kind")
+
+
 def sequence_gaps(rows: DataFrame, key: str, order: list[str], seq: str) -> DataFrame:
     """Jumps of a sequence: ``expected, actual`` and, forward, how many are missing."""
     expected = F.lag(seq).over(Window.partitionBy(key).orderBy(*order)) + 1

@@ -57,6 +57,13 @@ def scan_archive(spark: SparkSession, root: str, stream: str, schema: T.StructTy
     return rows.select(*(columns or schema.names))
 
 
+def stream_files(spark: SparkSession, root: str, stream: str) -> DataFrame:
+    """``path, date, hour, n_rows, n_bytes`` of a stream's files; footers and the hidden file columns are enough."""
+    path = f"{root}/schema_version={SCHEMA_VERSION}"
+    rows = spark.read.option("basePath", root).parquet(path).where(F.col("stream") == stream)
+    return rows.groupBy(F.col("_metadata.file_path").alias("path"), F.col("date").cast("string").alias("date"), F.col("hour").cast("string").alias("hour")).agg(F.count(F.lit(1)).alias("n_rows"), F.max("_metadata.file_size").alias("n_bytes"))
+
+
 def dictionary(rows: DataFrame, kind: int, key: str, external_id: str, parent: str | None = None) -> DataFrame:
     """A row for each key seen: ``entity_kind, archive_key, parent_archive_key, external_id``."""
     above = F.col(parent) if parent else F.lit(None).cast("long")
