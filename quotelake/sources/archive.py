@@ -29,12 +29,12 @@ def with_partition(rows: DataFrame) -> DataFrame:
 def write_archive(rows: DataFrame, root: str, exchange: str, stream: str, max_rows: int = 250_000, by: list[str] | None = None) -> None:
     """Appends rows as Zstandard Parquet without dictionary pages, by date and hour.
 
-    Rows are dealt by hour and a salt of the sort key, so one busy hour is
-    written by several tasks; each file is sorted for narrow row-group bounds.
+    Rows are dealt by hour; AQE splits an hour that is large and merges small
+    ones, so files are neither huge nor many; each is sorted for narrow
+    row-group bounds.
     """
     by = by or ["token_key", "received_ts_ns"]
-    out = with_partition(rows).withColumn("__salt", F.pmod(F.xxhash64(by[0]), F.lit(8)))
-    out = out.repartition("date", "hour", "__salt").sortWithinPartitions("date", "hour", *by).drop("__salt")
+    out = with_partition(rows).hint("rebalance", "date", "hour").sortWithinPartitions("date", "hour", *by)
     path = f"{root}/schema_version={SCHEMA_VERSION}/exchange={exchange}/stream={stream}"
     out.write.mode("append").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "3").option("parquet.enable.dictionary", "false").option("parquet.page.size", str(1 << 20)).option("maxRecordsPerFile", max_rows).partitionBy("date", "hour").parquet(path)
 
