@@ -41,7 +41,7 @@ from .shingles import shingles
 
 HEAVY = 1 << 20  # n-grams that may be called frequent: bounds what is broadcast (16 MB)
 FREQUENT = 8  # documents from which an n-gram counts as frequent
-FLUSH = 4_000_000  # n-grams that a task holds before it passes them on
+FLUSH = 2_000_000  # n-grams that a task holds before it passes them on
 EXTRA = 20  # a set's first n-grams are this part of it more than one shared n-gram asks for
 BLOCK = 150_000  # n-grams of the sets in a block, about
 FILTER_BITS = 1 << 27  # of the bitmap that candidates are filtered by (16 MB)
@@ -196,7 +196,7 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
                     least = 0 if often.any() else min(extra, 65_535)
                     held.append((first, often, np.full(len(first), node, np.int64), np.full(len(first), least, np.int64)))
                     size += len(first)
-                if size > FLUSH // 4:
+                if size > FLUSH // 2:
                     yield emit(held)
                     held, size = [], 0
         if size:
@@ -383,9 +383,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     classes = ngram_classes(df, id_col, text_col, k, percent)
     named = classes.select(F.col(id_col).alias("id"), "node", "root")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
-    chosen = named.where(F.col("node").isNotNull()).groupBy("root").agg(first.alias("first")).select(F.col("first.id").alias("chosen_id"), F.col("first.node").alias("chosen"))
+    chosen = named.where(F.col("node").isNotNull()).groupBy("root").agg(first.alias("first")).select(F.col("first.id").alias("__chosen_id"), F.col("first.node").alias("__chosen"))
     row = df.withColumn("__node", F.xxhash64(F.col(text_col).cast("string")))
-    kept = row.join(chosen, (F.col("__node") == F.col("chosen")) & F.col(id_col).eqNullSafe(F.col("chosen_id")), "left_semi").dropDuplicates(["__node"])
+    kept = row.join(chosen, (F.col("__node") == F.col("__chosen")) & F.col(id_col).eqNullSafe(F.col("__chosen_id")), "left_semi").dropDuplicates(["__node"])
     empty = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
     return kept.unionByName(row.where(empty)).drop("__node")
 

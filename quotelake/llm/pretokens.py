@@ -40,12 +40,12 @@ class TextEncoder:
     pieces: gives a list of pre-tokens' bytes. whole: gives those of a text for
     which the regular expression of this process may split otherwise than the
     library does, because a character is not assigned in its Unicode version.
-    What short chunks and pre-tokens give is kept, up to ``limit`` of each.
+    What short chunks and pre-tokens give is kept, up to ``limit`` of each (some 60 MB).
     """
 
     ROOM, LONGEST = 2_000_000, 48
 
-    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 700_000):
+    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 300_000):
         self.find, self.odd = regex.compile(pattern).findall, unassigned()
         self.pieces, self.whole, self.limit = pieces, whole, limit
         self.seen: dict[str, bytes] = {}

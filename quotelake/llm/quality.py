@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-SAMPLE = 1000
+SAMPLE = 700
 DIMENSIONS = 48
 NEIGHBOURS = 15
 PAIRS = 4096
