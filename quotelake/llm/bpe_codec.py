@@ -136,7 +136,7 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(model.value)
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             counts, ids, first, second = [], [], [], []
             for got in bpe.encode(batch.column(1).to_pylist()):
                 counts.append(len(got) // 4)
