@@ -125,6 +125,38 @@ def test_edited_images_are_found_and_others_are_not(spark):
     assert image_copies.image_copies(table.where("false")).count() == 0
 
 
+def test_no_linked_pair_of_noisy_scaled_or_small_copies_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(image_copies, "BLOCK", 30, raising=False)  # several blocks
+    monkeypatch.setattr(image_copies, "TILE", 16, raising=False)
+    rng = np.random.default_rng(8)
+    grey = []
+    for i in range(16):
+        g = image_copies.render(f"picture {i}")
+        small = g[np.ix_(np.arange(80) * 96 // 80, np.arange(80) * 96 // 80)]
+        grey += [g, g + rng.normal(size=g.shape) * 6, g + rng.normal(size=g.shape) * 12, small, g[8:66, 20:80] + rng.normal(size=(58, 60)) * 4]
+    banner = image_copies.render("banner")
+    for i in range(12):  # a large group that shares a part
+        g = image_copies.render(f"page {i}")
+        g[:60] = banner[:60]
+        grey.append(g)
+    table = spark.createDataFrame([(i, image_copies.write_image(g)) for i, g in enumerate(grey)], "image_id long, image binary")
+    node = {r.image_id: r.node for r in table.select("image_id", F.xxhash64("image").alias("node")).collect()}
+    found = {}
+    for r in table.collect():
+        points, words = image_copies.describe(image_copies.read_image(bytes(r.image)))
+        found[r.image_id] = points.astype(np.float16).astype(np.float32), words
+    want, links = Sets(), defaultdict(int)
+    for a in found:
+        for b in found:
+            if node[a] < node[b] and image_copies.agreeing(*found[a], *found[b]) >= image_copies.AGREE:
+                want.join(a, b)
+                links[a] += 1
+                links[b] += 1
+    assert sum(links.values()) > 100
+    got = image_copies.image_copies(table).collect()
+    assert {r.image_id: (r.n_links, r.component_id) for r in got} == {i: (links[i], want.find(i)) for i in found}
+
+
 def test_pictures_in_colour_are_read():
     assert image_copies.read_image(b"P6 1 1 255\n\x01\x02\x03")[0, 0] == 2
     assert image_copies.read_image(b"P5 2 2 255\n\x01") is None
