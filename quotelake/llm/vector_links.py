@@ -3,12 +3,13 @@
 Equal vectors of one label are one node. Coarse centroids and, for the residuals
 to them, codebooks of subspaces are fitted on a bounded sample. Every node goes
 to the inverted list of its nearest centroid with its codes and the length of
-what the codes miss; it is compared with the lists of its nearest ``probes``
-centroids. Lists are dealt to blocks of bounded size. For a pair of blocks,
+what the codes miss; it is compared with all lists that can hold a vector close
+enough: one nearer to another centroid is as far at least as the plane halfway
+between the two. Lists are dealt to blocks of bounded size. For a pair of blocks,
 distances come from a table of each query's subspace distances (asymmetric: the
 query isn't coded); what the codes miss bounds the true distance from below, so
 this filter loses nothing, and the rest is ranked by the exact cosine in double
-precision. Only probing is approximate; the recall is measured in the tests.
+precision. No link is lost at any number of lists.
 
 Of a pair of blocks, link counts and a spanning forest of its links leave the
 task, so a large group of close vectors gives no list of all its pairs.
@@ -38,8 +39,7 @@ from .ngram_join import forest
 SAMPLE = 16_384  # nodes that the index is fitted on, the least digests
 SUBSPACES, CODES = 8, 64
 BLOCK = 1024  # nodes of a list that are compared together, and a list's aimed-at size in the largest label
-PROBED = 4  # one of so many lists is probed, and at least LEAST
-LEAST = 16
+SLACK = 1e-6  # added to what the bound on lists allows, for rounding
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -70,22 +70,24 @@ class Index:
         if x is None:
             return
         self.centres = kmeans(x, min(lists, len(x)))
+        self.apart = np.stack([np.sqrt(((self.centres - c) ** 2).sum(1)) for c in self.centres])
         rest = x - self.centres[_nearest(x, self.centres)]
         self.parts = [p for p in np.array_split(np.arange(x.shape[1]), SUBSPACES) if len(p)]
         self.books = [kmeans(rest[:, p], min(CODES, len(x))) for p in self.parts]
 
-    def place(self, x: np.ndarray) -> tuple[np.ndarray, list[list[int]], np.ndarray, np.ndarray]:
-        """List, lists to probe, codes, and the length that the codes miss, of each row."""
+    def place(self, x: np.ndarray, radius: float) -> tuple[np.ndarray, list[list[int]], np.ndarray, np.ndarray]:
+        """List, lists that may hold a row within ``radius``, codes, and the length that the codes miss, of each row."""
         if not self.fitted:
             return np.zeros(len(x), int), [[0]] * len(x), np.zeros((len(x), 0), np.uint8), np.full(len(x), 9.0, np.float32)
         far = (self.centres**2).sum(1) - 2 * x @ self.centres.T
-        n = min(len(self.centres), max(LEAST, len(self.centres) // PROBED))
-        probes = np.argpartition(far, n - 1, axis=1)[:, :n] if n < len(self.centres) else np.tile(np.arange(n), (len(x), 1))
         own = np.argmin(far, axis=1)
+        # What is in a list lies beyond the plane halfway between its centroid and the row's own one.
+        beyond = far - far.min(axis=1, keepdims=True)
+        probes = [np.flatnonzero(row).tolist() for row in beyond <= 2 * radius * self.apart[own] + SLACK]
         rest = x - self.centres[own]
         codes = np.stack([_nearest(rest[:, p], b) for p, b in zip(self.parts, self.books, strict=True)], axis=1).astype(np.uint8)
         missed = rest - np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], axis=1)
-        return own, probes.tolist(), codes, np.sqrt((missed**2).sum(1)).astype(np.float32)
+        return own, probes, codes, np.sqrt((missed**2).sum(1)).astype(np.float32)
 
     def distances(self, x: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Distances of each row to the coded vectors of a list, by table lookup."""
@@ -134,7 +136,7 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         for batch in batches:
             frame = batch.to_pandas()
             for size, part in frame.groupby(frame["vector"].map(len)):
-                own, probes, codes, missed = of(size).place(unit(np.stack(part["vector"].to_list())))
+                own, probes, codes, missed = of(size).place(unit(np.stack(part["vector"].to_list())), float(radius))
                 yield pa.RecordBatch.from_pandas(pd.DataFrame({"node": part["node"], "label": part["label"], "n": part["n"], "size": np.int32(size), "list": own.astype(np.int32), "probes": probes, "codes": [c.tobytes() for c in codes], "missed": missed, "vector": [np.asarray(v, kind).tobytes() for v in part["vector"]]}), schema=placed_arrow, preserve_index=False)
 
     placed_arrow = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("size", pa.int32()), ("list", pa.int32()), ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("missed", pa.float32()), ("vector", pa.binary())])

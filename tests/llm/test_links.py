@@ -109,6 +109,20 @@ def test_vector_links_recall_and_precision(spark):
     assert vector_links.vector_links(table.where("false")).count() == 0
 
 
+def test_vector_links_over_many_lists_are_exact(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(300, 16)), np.ones(16) + rng.normal(size=(700, 16)) * 0.274])  # a large group about the threshold
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = m @ m.T >= 0.93
+    np.fill_diagonal(linked, False)
+    want = Sets()
+    for a, b in np.argwhere(linked).tolist():
+        want.join(a, b)
+    got = vector_links.vector_links(table, block=5).collect()  # 256 lists
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(linked[i].sum()), want.find(i)) for i in range(1000)}
+
+
 def test_edited_images_are_found_and_others_are_not(spark):
     grey = [image_copies.render(f"picture {i}") for i in range(60)]
     rows = [(i, image_copies.write_image(g)) for i, g in enumerate(grey)]
