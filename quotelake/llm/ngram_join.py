@@ -157,7 +157,10 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
     pair that shares fewer than both sets' links would is dropped. A set with
     frequent n-grams among its first ones can't be judged by that count; its
     pairs all stay, and by each frequent n-gram it is drawn to the least text
-    that has it too, first inside a task, then between tasks.
+    that has it too, first inside a task, then between tasks. An n-gram beyond
+    the ``HEAVY`` ones that a bucket finds in ``FREQUENT`` documents or more draws
+    them to the least one too: all that share it hang together, so the count of a
+    pair need not have it.
     """
     order = texts.sparkSession.sparkContext.broadcast((keys, counts))
     shift = np.uint64(32 - bits)
@@ -209,6 +212,10 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
         key, node, least = key[by], node[by], least[by]
         one = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1]))) if len(key) else np.zeros(0, bool)
         key, node, least = key[one], node[one], least[one]
+        _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        many = n[which] >= FREQUENT
+        crowded = _stars(key[many], node[many])[1]
+        key, node, least = key[~many], node[~many], least[~many]
         pairs, d = [np.zeros((3, 0), np.int64)], 1
         while d < len(key) and (same := np.flatnonzero(key[d:] == key[:-d])).size:
             pairs.append(np.stack([node[same], node[same + d], np.minimum(least[same], least[same + d])]))
@@ -217,7 +224,7 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
         key, node = get("often", np.uint32), get("often_nodes", np.int64)
         by = np.lexsort((node, key))
         local = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["edges"]]
-        stars = np.unique(np.concatenate([_stars(key[by], node[by])[1], *local], axis=1), axis=1)
+        stars = np.unique(np.concatenate([_stars(key[by], node[by])[1], crowded, *local], axis=1), axis=1)
         zero = np.zeros(stars.shape[1], np.int64)
         return pd.DataFrame({"u": np.concatenate([pairs[0], stars[0]]), "v": np.concatenate([pairs[1], stars[1]]), "least": np.concatenate([pairs[2], zero]), "n": np.concatenate([n, zero])})
 

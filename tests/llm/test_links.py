@@ -82,6 +82,24 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch):
     assert len([r for r in kept if r.text]) == len(classes)
 
 
+def test_frequent_ngrams_beyond_the_list_make_no_pairs(spark, monkeypatch):
+    random.seed(3)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        copy[random.randrange(80)] = f"own{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(200 + i, " ".join(random.sample(base, 60))) for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    texts = table.select(F.xxhash64("text").alias("node"), "text")
+    edges = ngram_join.candidate_edges(texts, 4, 85, 4, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert edges.count() < 120 * 119 // 8
+    monkeypatch.setattr(ngram_join, "HEAVY", 1)
+    got = ngram_join.ngram_classes(table, k=4, percent=85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_classes(rows, 4, 85)
+
+
 def test_vector_links_recall_and_precision(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 32))
