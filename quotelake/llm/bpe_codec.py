@@ -97,19 +97,26 @@ class Codec:
         merged = dict(zip(rest, self.processor.encode([to_chars(d) for d in rest], num_threads=1), strict=True)) if rest else {}
         return [self.known[d] if d in self.known else struct.pack(f"<{len(merged[d])}I", *[i - 1 for i in merged[d]]) for d in data]
 
-    def _whole(self, text: str) -> bytes:
+    def _stand_in(self, char: str) -> str:
+        """A character of the kind that the library's Unicode tables give to one that this Python's tables lack."""
         import tiktoken
 
-        if not hasattr(self, "library"):
-            self.library = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks={t: i for i, t in enumerate(self.tokens)}, special_tokens={})
-        return np.array(self.library.encode_ordinary(text), "<u4").tobytes()
+        if not hasattr(self, "kinds"):
+            every = {bytes([b]): b for b in range(256)}
+            self.kinds = [(tiktoken.Encoding(kind, pat_str=rf"\p{{{kind}}}", mergeable_ranks=every, special_tokens={}), stand_in) for kind, stand_in in (("L", "\u4e00"), ("N", "\u0664"))]
+        return next((stand_in for kind, stand_in in self.kinds if kind.encode_ordinary(char)), "\u2603")
+
+    def _whole(self, text: str) -> bytes:
+        """The pattern splits the text with stand-ins for characters it can't know; the model encodes the pre-tokens as they are."""
+        known = self.texts.odd.sub(lambda found: self._stand_in(found[0]), text)
+        return b"".join(self._pieces([text[m.start() : m.end()] for m in self.texts.split.finditer(known)]))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        return self.texts.encode([x or "" for x in texts])
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(ids, offsets)`` of slices of the texts in order."""
+        return self.texts.encode(texts)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -136,20 +143,20 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(model.value)
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-            counts, ids, first, second = [], [], [], []
-            for got in bpe.encode(batch.column(1).to_pylist()):
-                counts.append(len(got) // 4)
-                first.append(hashlib.sha256(got).hexdigest())
-                second.append(hashlib.sha256(bpe.decode(got)).hexdigest())
+        for batch in batches:
+            done = 0
+            for ids, at in bpe.encode(batch.column(1)):
+                n = len(at) - 1
+                each = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                first = [hashlib.sha256(x).hexdigest() for x in each]
+                second = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in each]
+                columns = [batch.column(0).slice(done, n), pa.array(np.diff(at)), pa.array(first, pa.string()), pa.array(second, pa.string())]
+                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    ids.append(np.frombuffer(got, "<u4").astype("<i4"))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype("<i4"))))
+                    names.append("ids")
+                done += n
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, schema)

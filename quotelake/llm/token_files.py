@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,24 +94,26 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.tokenize, self.chars = self.tokenizer.model.tokenize, byte_characters()
-        self.texts = TextEncoder(public_tokenizers.PATTERN, self._pieces, self._whole, limit=700_000)
+        self.texts = TextEncoder(public_tokenizers.PATTERN, self._pieces, self._whole)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         out = []
         for piece in pieces:
-            ids = [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.chars))]
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
+            plain = piece.isascii() and piece.isprintable()  # of these bytes, only the space has another character
+            chars = piece.replace(" ", self.chars[32]) if plain else piece.encode().decode("latin-1").translate(self.chars)
+            out.append(array("I", [t.id for t in self.tokenize(chars)]).tobytes())
         return out
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts that hold an added token's string go to the library whole."""
-        whole = [any(s in x for s in self.special) for x in texts]
-        rest = iter(self.texts.encode([x for x, w in zip(texts, whole, strict=True) if not w]))
-        return [self._whole(x) if w else next(rest) for x, w in zip(texts, whole, strict=True)]
+    def _special(self, text: str) -> bytes | None:
+        """A text that holds an added token's string goes to the library whole."""
+        return self._whole(text) if any(s in text for s in self.special) else None
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return self.texts.encode(texts, self._special if self.special else None)
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -132,27 +135,36 @@ def write_token_files(df: DataFrame, path: str, id_col: str = "doc_id", text_col
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(definition.value)
-        end = struct.pack("<I", end_id)
         shard, block, first = TaskContext.get().partitionId(), 0, 0
-        ids, parts, size = [], [], 0
+        docs, sizes, parts = [], [], []  # of the block that is being filled
 
         def flush() -> pa.RecordBatch:
-            offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])])
-            data = pack(np.frombuffer(b"".join(parts), "<u4"), enc.bits)
-            row = {"shard": shard, "block": block, "first": first, "n_ids": int(offsets[-1]), "bits": enc.bits, "doc_ids": ids, "offsets": offsets.tolist(), "data": data}
-            return pa.RecordBatch.from_pylist([row], schema=arrow)
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            data = pack(np.concatenate(parts), enc.bits)
+            row = [shard, block, first, int(offsets[-1]), enc.bits, pa.concat_arrays(docs), pa.array(offsets), data]
+            return pa.RecordBatch.from_arrays([pa.array([x.to_pylist() if isinstance(x, pa.Array) else x], t) for x, t in zip(row, arrow.types, strict=True)], schema=arrow)
 
         for batch in batches:
             arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.int32()), ("doc_ids", pa.list_(batch.schema.field(0).type)), ("offsets", pa.list_(pa.int64())), ("data", pa.binary())])
-            for doc, got in zip(batch.column(0).to_pylist(), enc.encode([x or "" for x in batch.column(1).to_pylist()]), strict=True):
-                ids.append(doc)
-                parts.append(got + end)
-                size += len(got) // 4 + 1
-                if size >= BLOCK_IDS:
-                    yield flush()
-                    block, first = block + 1, first + size
-                    ids, parts, size = [], [], 0
-        if ids:
+            done = 0
+            for ids, at in enc.encode(batch.column(1)):
+                ids = np.insert(ids, at[1:], end_id)
+                at = at + np.arange(len(at))
+                row, n = 0, len(at) - 1
+                while row < n:
+                    # Rows are added until the block holds BLOCK_IDS.
+                    have = sum(map(len, parts))
+                    stop = min(n, max(row + 1, int(np.searchsorted(at, at[row] + BLOCK_IDS - have))))
+                    docs.append(batch.column(0).slice(done + row, stop - row))
+                    sizes.append(np.diff(at[row : stop + 1]))
+                    parts.append(ids[at[row] : at[stop]])
+                    row = stop
+                    if have + len(parts[-1]) >= BLOCK_IDS:
+                        yield flush()
+                        block, first = block + 1, first + have + len(parts[-1])
+                        docs, sizes, parts = [], [], []
+                done += n
+        if docs:
             yield flush()
 
     schema = f"shard int, block int, first long, n_ids long, bits int, doc_ids array<{kind}>, offsets array<long>, data binary"

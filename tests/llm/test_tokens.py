@@ -26,6 +26,10 @@ def adversarial(n=4000):
     return ["".join(random.choice(letters) for _ in range(random.randint(0, 30))) for _ in range(n)]
 
 
+def each(slices):
+    return [ids[a:b].tolist() for ids, at in slices for a, b in zip(at, at[1:], strict=False)]
+
+
 def test_codec_equals_the_library_and_round_trips(spark):
     import tiktoken
 
@@ -39,7 +43,9 @@ def test_codec_equals_the_library_and_round_trips(spark):
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     codec = bpe_codec.Codec(bpe_codec.serialise(bpe_codec.read_ranks(public_tokenizers.path(bpe_codec.VOCABULARY))))
     many = adversarial()
-    assert codec.encode(many) == [np.array(library.encode_ordinary(x), "<u4").tobytes() for x in many]
+    many += [None, "x" + chr(0x1C89) + "y " + chr(0x10D4A) + chr(0x10EC2) + "5" + chr(0x10D40) + " " + chr(0x2FFFF), *many[:50], "word " * 2_000_000]
+    assert each(codec.encode(many)) == [library.encode_ordinary(x or "") for x in many]
+    assert each(codec.encode([])) == []
 
 
 def test_counts_equal_the_library(spark):
@@ -69,18 +75,30 @@ def test_files_give_the_library_s_ids_in_order(spark, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
-    docs = texts(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    rows = [(None, "no id"), (None, ""), *enumerate(ODD), (3, ODD[3]), (3, "more"), (3, None)]
+    docs = spark.createDataFrame(random.sample(rows, len(rows)), "doc_id long, text string").repartition(3)
     token_files.write_token_files(docs, f"file://{tmp_path}/files")
-    got = {r.doc_id: r for r in token_files.read_token_files(spark, f"file://{tmp_path}/files").collect()}
-    start = 0
-    for i, text in enumerate(ODD):
+    got = [tuple(r) for r in token_files.read_token_files(spark, f"file://{tmp_path}/files").orderBy("start").collect()]
+    want, start = [], 0
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
-        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
+    assert got == want
     with open(public_tokenizers.path(token_files.TOKENIZER), encoding="utf-8") as f:
         encoder = token_files.Encoder(f.read())
     many = adversarial()
-    assert encoder.encode(many) == [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(many, add_special_tokens=False)]
+    assert each(encoder.encode(many)) == [x.ids for x in library.encode_batch(many, add_special_tokens=False)]
+
+
+def test_blocks_end_where_they_are_full(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 100)
+    docs = spark.createDataFrame([(i, "word " * (i % 150)) for i in range(300)], "doc_id long, text string")
+    token_files.write_token_files(docs.coalesce(1), f"file://{tmp_path}/files")
+    blocks = spark.read.parquet(f"file://{tmp_path}/files").orderBy("shard", "block").collect()
+    assert [i for b in blocks for i in b.doc_ids] == list(range(300)) and len(blocks) > 100
+    assert all(b.n_ids == b.offsets[-1] and (b.n_ids >= 100 or b.block == max(x.block for x in blocks if x.shard == b.shard)) for b in blocks)
+    assert all(b.offsets[-2] < 100 for b in blocks)
 
 
 def test_empty_tables(spark, tmp_path):
