@@ -11,14 +11,20 @@ EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Fixed values of the archive format.
 SIDES = {"buy": 1, "bid": 1, "bids": 1, "yes": 1, "sell": 2, "ask": 2, "asks": 2, "no": 2}
 ACTIONS = {"set": 1, "absolute": 1, "update": 1, "delete": 2, "remove": 2, "reset": 3, "delta": 4, "add": 4}
-SNAPSHOTS = {"initial": 1, "recovery": 2, "reconciliation": 3, "closing": 4, "checkpoint": 5}
+SNAPSHOTS = {"exchange": 1, "initial": 1, "recovery": 2, "reconciliation": 3, "closing": 4, "checkpoint": 5}
 ENTITIES = {"market": 1, "token": 2}
 KEY_PREFIX = "archive-v2"  # a deployment that reads keys made elsewhere passes the prefix they were made with
 
 
 def as_decimal(text: Column) -> Column:
-    """A number within the type's range, else null."""
-    return F.trim(text).try_cast(NUMBER)
+    """A number that the type holds exactly, else null: excess digits are never rounded."""
+    clean = F.trim(text)
+    number = F.regexp_replace(clean, r"[eE].*$", "")
+    power = F.when(clean.rlike("[eE]"), F.regexp_extract(clean, r"[eE]([+-]?\d+)$", 1).try_cast("int")).otherwise(0)
+    after = F.length(F.regexp_extract(number, r"\.(\d*?)0*$", 1))
+    spare = F.length(F.regexp_extract(number, r"(0*)(\.0*)?$", 1))
+    places = F.when(after > 0, after).otherwise(-spare) - power
+    return F.when(F.coalesce(places <= 18, F.lit(True)), clean.try_cast(NUMBER))
 
 
 def as_int(text: Column) -> Column:

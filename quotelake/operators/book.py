@@ -34,8 +34,8 @@ def with_epochs(events: DataFrame) -> DataFrame:
 
 
 def book_moves(events: DataFrame) -> DataFrame:
-    """One row a touched level: ``token_key, epoch, ts, kind, seq, side, price, is_set, x``."""
-    rows = with_epochs(events)
+    """One row a touched level: ``token_key, epoch, ts, kind, seq, side, price, is_set, x``; events may have their epochs already."""
+    rows = events if "epoch" in events.columns else with_epochs(events)
     level = F.struct("side", "price", F.col("x").alias("size"))
     each = F.when(F.col("kind") == 0, distinct_levels(F.col("levels"))).otherwise(F.array(level))
     rows = rows.withColumn("level", F.explode(each))
@@ -63,10 +63,11 @@ def replay_book(events: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The book of every token after all events (up to ``as_of``): ``token_key, epoch, side, price, size, last_ts``."""
     if as_of is not None:
         events = events.where(F.col("ts") <= as_of)
+    # Only what came since a token's last snapshot makes its book.
+    rows = with_epochs(events).withColumn("newest", F.max("epoch").over(Window.partitionBy("token_key"))).where("epoch = newest").drop("newest")
     order = F.struct("ts", "kind", "seq")
-    last = level_sizes(book_moves(events)).groupBy("token_key", "epoch", "side", "price").agg(F.max_by("size", order).alias("size"), F.max("ts").alias("last_ts"))
-    newest = with_epochs(events).groupBy("token_key").agg(F.max("epoch").alias("epoch"))
-    return last.join(newest, ["token_key", "epoch"]).where("size > 0")
+    last = level_sizes(book_moves(rows)).groupBy("token_key", "epoch", "side", "price").agg(F.max_by("size", order).alias("size"), F.max("ts").alias("last_ts"))
+    return last.where("size > 0")
 
 
 def replay_violations(events: DataFrame) -> DataFrame:
@@ -79,16 +80,17 @@ def replay_violations(events: DataFrame) -> DataFrame:
 def book_at_ticks(events: DataFrame, ticks: DataFrame) -> DataFrame:
     """The book at many times: ``token_key, tick, side, price, size``.
 
-    A level lives from its move to the next one of the same level, or to the next
-    snapshot; each tick takes the levels that live at it. ticks: ``token_key, tick``.
+    Each tick asks every place (side and price) that the token has used for the
+    last size there, which counts if no snapshot came after it: as-of joins on
+    sorted unions, so moves are never paired with ticks. ticks: ``token_key, tick``.
     """
-    moves = level_sizes(book_moves(events))
-    order = Window.partitionBy("token_key", "epoch", "side", "price").orderBy("ts", "kind", "seq")
-    snapshots = with_epochs(events).where("kind = 0").select("token_key", (F.col("epoch") - 1).alias("epoch"), F.col("ts").alias("ended"))
-    lives = moves.withColumn("until", F.lead("ts").over(order)).join(snapshots, ["token_key", "epoch"], "left")
-    lives = lives.withColumn("until", F.least("until", "ended")).where((F.col("size") > 0) & (F.col("until").isNull() | (F.col("until") > F.col("ts"))))
-    inside = (F.col("tick") >= F.col("ts")) & (F.col("until").isNull() | (F.col("tick") < F.col("until")))
-    return lives.join(ticks, "token_key").where(inside).select("token_key", "tick", "side", "price", "size")
+    rows = with_epochs(events)
+    moves = level_sizes(book_moves(rows))
+    asked = last_before(ticks.select("token_key", "tick").distinct(), rows, ["token_key"], "tick", "ts", ["epoch"], ["kind", "seq"]).where("epoch > 0")
+    places = moves.select("token_key", "side", "price").distinct()
+    asked = asked.withColumnRenamed("epoch", "now").join(places, "token_key")
+    found = last_before(asked, moves, ["token_key", "side", "price"], "tick", "ts", ["epoch", "size"], ["kind", "seq"])
+    return found.where("epoch = now AND size > 0").select("token_key", "tick", "side", "price", "size")
 
 
 def book_metrics(levels: DataFrame, *keys: str) -> DataFrame:
@@ -153,17 +155,18 @@ def reconcile(events: DataFrame) -> DataFrame:
     return both.where(~F.col("replayed").eqNullSafe(F.col("reported")))
 
 
-def last_before(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, values: list[str], order: list[str]) -> DataFrame:
-    """As-of join: each left row with the values of the last right row at or before it.
+def last_before(left: DataFrame, right: DataFrame, key: list[str], left_ts: str, right_ts: str, values: list[str], order: list[str]) -> DataFrame:
+    """As-of join: each left row with the values of the last right row of its key at or before it.
 
     Both sides are one sorted stream a key, and the last right row is carried
     forward, so rows are sorted once and nothing is paired. order: what makes
     the right side's order total.
     """
-    names = [c for c in left.columns]
-    carried = F.struct(*values)
-    a = left.select(F.col(key).alias("__k"), F.col(left_ts).alias("__t"), F.lit(1).alias("__side"), F.struct(*names).alias("__left"), F.lit(None).cast(right.select(carried.alias("x")).schema["x"].dataType).alias("__right"), *[F.lit(None).cast(right.schema[c].dataType).alias(f"__o{i}") for i, c in enumerate(order)])
-    b = right.select(F.col(key).alias("__k"), F.col(right_ts).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(a.schema["__left"].dataType).alias("__left"), carried.alias("__right"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
-    past = Window.partitionBy("__k").orderBy("__t", "__side", *[f"__o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = a.unionByName(b).withColumn("__last", F.last("__right", ignorenulls=True).over(past)).where("__side = 1")
-    return joined.select("__left.*", *[F.col(f"__last.{v}").alias(v) for v in values])
+    keys, orders = [f"k{i}" for i in range(len(key))], [f"o{i}" for i in range(len(order))]
+    mine, theirs = F.struct(*left.columns), F.struct(*values)
+    kinds = {"l": left.select(mine.alias("l")).schema["l"].dataType, "r": right.select(theirs.alias("r")).schema["r"].dataType}
+    a = left.select(*[F.col(c).alias(k) for c, k in zip(key, keys, strict=True)], F.col(left_ts).alias("t"), F.lit(1).alias("side"), mine.alias("l"), F.lit(None).cast(kinds["r"]).alias("r"), *[F.lit(None).cast(right.schema[c].dataType).alias(o) for c, o in zip(order, orders, strict=True)])
+    b = right.select(*[F.col(c).alias(k) for c, k in zip(key, keys, strict=True)], F.col(right_ts).alias("t"), F.lit(0).alias("side"), F.lit(None).cast(kinds["l"]).alias("l"), theirs.alias("r"), *[F.col(c).alias(o) for c, o in zip(order, orders, strict=True)])
+    past = Window.partitionBy(*keys).orderBy("t", "side", *orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = a.unionByName(b).withColumn("last", F.last("r", ignorenulls=True).over(past)).where("side = 1")
+    return joined.select("l.*", *[F.col(f"last.{v}").alias(v) for v in values])

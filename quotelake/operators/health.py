@@ -55,9 +55,27 @@ def bounded_samples(rejects: DataFrame, reason: str, key: str, n: int = 10) -> D
     return rejects.groupBy(reason).agg(F.count(F.lit(1)).alias("rejected")).join(some, reason)
 
 
-def nearest_rank(rows: DataFrame, key: str, value: str, share: float) -> DataFrame:
-    """The value at rank ``ceil(share * n)``."""
-    return rows.groupBy(key).agg(F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY {value})").alias("value"))
+def nearest_rank(rows: DataFrame, key: str, value: str, share: float, slots: int = 4096, rounds: int = 2) -> DataFrame:
+    """The value at rank ``ceil(share * n)`` of each key; nulls don't count.
+
+    Each round counts a key's values in equal slots of their range, and keeps
+    those of the slot that holds the rank; what is left is ranked by its distinct
+    values. So a key's values are never sorted in one task.
+    """
+    left = rows.where(F.col(value).isNotNull()).select(F.col(key).alias("key"), F.col(value).alias("value"))
+    rank = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("rank")).withColumn("rank", F.greatest("rank", F.lit(1)))
+    for _ in range(rounds):
+        bounds = left.groupBy("key").agg(F.min("value").cast("double").alias("low"), F.max("value").cast("double").alias("high"))
+        slot = F.least(F.floor(F.try_divide(F.col("value").cast("double") - F.col("low"), F.col("high") - F.col("low")) * slots), F.lit(slots - 1))
+        placed = left.join(bounds, "key").select("key", "value", F.coalesce(slot, F.lit(0)).alias("slot"))
+        counts = placed.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("n")).join(rank, "key")
+        counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("key").orderBy("slot")))
+        chosen = counts.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        left = placed.join(chosen.select("key", "slot"), ["key", "slot"], "left_semi").select("key", "value")
+        rank = chosen.select("key", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+    counts = left.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("key").orderBy("value"))).join(rank, "key")
+    return upto.where(F.col("upto") >= F.col("rank")).groupBy(F.col("key").alias(key)).agg(F.min("value").alias("value"))
 
 
 def projection(samples: DataFrame, key: str, time: str, size: str, days: int = 30) -> DataFrame:

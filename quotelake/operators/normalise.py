@@ -113,16 +113,18 @@ def price_changes(raw: DataFrame) -> DataFrame:
 
 
 def books(raw: DataFrame) -> DataFrame:
-    """Book frames: levels as objects or pairs, sorted; a frame of which a side isn't a list is left out."""
+    """Book frames: levels as objects or pairs, sorted; a frame of which a side isn't a list is left out. A frame is parsed once."""
+    part = lambda x, key, i: s.as_decimal(F.coalesce(F.try_variant_get(x, f"$.{key}", "string"), F.try_variant_get(x, f"$[{i}]", "string")))
 
     def side(name: str, sign: int) -> Column:
-        listed = F.from_json(_get(name), "array<string>")
-        part = lambda x, key, i: s.as_decimal(F.coalesce(F.get_json_object(x, f"$.{key}"), F.get_json_object(x, f"$[{i}]")))
-        levels = F.transform(listed, lambda x: F.struct((part(x, "price", 0) * sign).alias("by"), part(x, "price", 0).alias("price"), part(x, "size", 1).alias("size")))
-        return F.array_sort(F.filter(levels, lambda x: (x["size"] > 0) & x["price"].isNotNull()))
-
-    rows = raw.select(_get("asset_id").alias("token"), s.parse_timestamp(_get("timestamp")).alias("ts"), _get("hash").alias("book_hash"), side("bids", -1).alias("bids"), side("asks", 1).alias("asks"))
-    return rows.where("bids IS NOT NULL AND asks IS NOT NULL")
+        levels = F.transform(name, lambda x: F.struct(part(x, "price", 0).alias("price"), part(x, "size", 1).alias("size")))
+        levels = F.filter(levels, lambda x: (x["size"] > 0) & x["price"].isNotNull())
+        return F.array_sort(F.transform(levels, lambda x: F.struct((x["price"] * sign).alias("by"), x["price"].alias("price"), x["size"].alias("size"))))
+
+    get = lambda name, kind: F.try_variant_get("frame", f"$.{name}", kind)
+    rows = raw.select(F.try_parse_json("payload").alias("frame"))
+    rows = rows.select(get("asset_id", "string").alias("token"), s.parse_timestamp(get("timestamp", "string")).alias("ts"), get("hash", "string").alias("book_hash"), get("bids", "array<variant>").alias("bids"), get("asks", "array<variant>").alias("asks"))
+    return rows.where("bids IS NOT NULL AND asks IS NOT NULL").withColumns({"bids": side("bids", -1), "asks": side("asks", 1)})
 
 
 def book_headers(frames: DataFrame) -> DataFrame:

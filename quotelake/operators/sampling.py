@@ -2,38 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
+from .names import fresh
 
 
 def suppress_unchanged(rows: DataFrame, key: list[str], order: list[str], value: str, seconds: int) -> DataFrame:
     """Drops a row equal to the last one kept unless ``seconds`` have passed since that.
 
     A change is always kept, and so is a row that follows the one before it by the
-    interval or more; between such rows runs are independent, which bounds what
-    is folded together. The fold of a run keeps the next row that is far enough
-    from the last kept one.
+    interval or more: a window finds these. Between them, each kept row decides
+    the next one; the rows of a key pass in order, batch by batch, and only the
+    last kept time is held.
     """
+    us, start = fresh(rows, "us", "start")
     at = Window.partitionBy(*key).orderBy(*order)
-    us = micros(F.col(order[0]))
     step = seconds * 1_000_000
-    rows = rows.withColumn("__us", us)
-    starts = ~F.col(value).eqNullSafe(F.lag(value).over(at)) | (F.col("__us") - F.lag("__us").over(at) >= step) | (F.row_number().over(at) == 1)
-    rows = rows.withColumn("__start", F.coalesce(starts, F.lit(True)).cast("long"))
-    rows = rows.withColumn("__run", F.sum("__start").over(at.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    names = [c for c in rows.columns if c not in ("__start", "__run", "__us")]
-    listed = F.array_sort(F.collect_list(F.struct("__us", *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order[1:])], F.struct(*names).alias("row"))))
-    runs = rows.groupBy(*key, "__run").agg(listed.alias("run"))
-    kept = F.aggregate("run", F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<int>").alias("keep"), F.lit(0).alias("i")), lambda s, x: _next(s, x, step))
-    picked = F.transform(kept["keep"], lambda i: F.get(F.col("run"), i)["row"])
-    return runs.select(F.explode(picked).alias("row")).select("row.*")
-
-
-def _next(state: Column, x: Column, step: int) -> Column:
-    take = state["last"].isNull() | (x["__us"] - state["last"] >= step)
-    return F.struct(F.when(take, x["__us"]).otherwise(state["last"]).alias("last"), F.when(take, F.concat(state["keep"], F.array(state["i"]))).otherwise(state["keep"]).alias("keep"), (state["i"] + 1).alias("i"))
+    rows = rows.withColumn(us, micros(F.col(order[0])))
+    starts = ~F.col(value).eqNullSafe(F.lag(value).over(at)) | (F.col(us) - F.lag(us).over(at) >= step) | (F.row_number().over(at) == 1)
+    rows = rows.withColumn(start, F.coalesce(starts, F.lit(True)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = 0
+        for batch in batches:
+            time = batch.column(us).to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(batch.column(start).to_numpy(zero_copy_only=False))
+            kept = np.zeros(len(time), bool)
+            kept[begins] = True
+            for a, b in zip(np.concatenate([[-1], begins]), np.append(begins, len(time)), strict=True):
+                i, last = a + 1, int(time[a]) if a >= 0 else last
+                while (i := i + int(np.searchsorted(time[i:b], last + step))) < b:
+                    kept[i], last = True, int(time[i])
+            yield batch.filter(pa.array(kept))
+
+    # The window has dealt and sorted the rows already; the sort costs nothing.
+    return rows.sortWithinPartitions(*key, *order).mapInArrow(pick, rows.schema).drop(us, start)
 
 
 def observe_on_change(rows: DataFrame, key: list[str], tick: str, state: str, heartbeat: int) -> DataFrame:

@@ -94,34 +94,65 @@ def scored(markets: DataFrame, active: DataFrame, previous: DataFrame, as_of: Co
     return rows.withColumns({"reasons": F.when(F.col("eligible"), F.col("reasons")).otherwise(refused), "score": F.when(F.col("eligible"), F.col("score")).otherwise(number(0))})
 
 
-def _best(rows: DataFrame, n: int) -> DataFrame:
-    return rows.orderBy(F.desc("score"), "external_id").limit(n)
+SALTS = 16
+
+
+def _tops(able: DataFrame, most: dict[str, int]) -> DataFrame:
+    """The best rows of each kind (a flag), at least as many as ``most`` says: bounded by it, whatever the input.
+
+    Ranks are numbered inside a few parts by salt, of which only the first ones
+    leave a task.
+    """
+    kinds = F.array_compact(F.array(*[F.when(F.col(c), F.lit(c)) for c in most])) if most else F.array().cast("array<string>")
+    part = Window.partitionBy("kind", F.pmod(F.xxhash64("external_id"), F.lit(SALTS))).orderBy(F.desc("score"), "external_id")
+    rows = able.withColumn("kind", F.explode(kinds)).withColumn("place", F.row_number().over(part)).where(F.col("place") <= max(most.values(), default=0))
+    return rows.select(*able.columns).distinct()
+
+
+def _selection(rows: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """``(chosen, counts)``: ``external_id, place`` of what a ceiling bounds, and the one-row counts of what competes."""
+    left = F.col("sampleable") if limits.full_max else F.col("sampleable") & ~F.col("qualifies")
+    able = rows.where("eligible").select("external_id", "score", "qualifies", "interesting", left.alias("left"), left.alias("competes"))
+    reserve = min(limits.reserve, limits.full_max)
+    most = {"interesting": reserve, "qualifies": limits.full_max + reserve if limits.full_max else 0, "left": limits.sampled_max + limits.full_max if limits.sampled_max else 0}
+    some = _tops(able, {k: n for k, n in most.items() if n})
+    best = lambda flag: F.row_number().over(Window.orderBy(F.desc(flag), F.desc("score"), "external_id"))
+    some = some.withColumn("research", F.col("interesting") & (best("interesting") <= reserve))
+    some = some.withColumn("rest", F.col("qualifies") & ~F.col("research"))
+    some = some.withColumn("full", F.col("research") | (F.col("rest") & (best("rest") + F.count_if("research").over(Window.partitionBy()) <= limits.full_max)))
+    some = some.withColumn("left", F.col("left") & ~F.col("full"))
+    some = some.withColumn("sampled", F.col("left") & (best("left") <= limits.sampled_max))
+    place = F.when(F.col("research"), "research").when(F.col("full"), "full").when(F.col("sampled"), "sampled")
+    chosen = some.withColumn("place", place).where(F.col("place").isNotNull())
+    counts = able.agg(F.count_if("qualifies").alias("wanted"), F.count_if("left").alias("remaining"))
+    return chosen, counts
+
+
+def _binding(chosen: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
+    """Whether each ceiling binds: more compete than it lets in."""
+    more = chosen.agg(F.count_if(F.col("research") & ~F.col("qualifies")).alias("added"), F.count_if(F.col("full") & F.col("competes")).alias("gone"))
+    wanted, remaining = F.col("wanted") + F.col("added"), F.col("remaining") - F.col("gone")
+    return counts.crossJoin(F.broadcast(more)).select((F.lit(limits.full_max > 0) & (wanted > limits.full_max)).alias("full_binds"), (F.lit(limits.sampled_max > 0) & (remaining > limits.sampled_max)).alias("sampled_binds"))
 
 
 def select_tiers(rows: DataFrame, limits: Limits) -> dict[str, DataFrame]:
-    """``research``, ``full`` and ``sampled`` ids (bounded by the ceilings) and the one-row ``binding``."""
-    able = rows.where("eligible").select("external_id", "score", "qualifies", "interesting", "sampleable")
-    research = _best(able.where("interesting"), min(limits.reserve, limits.full_max) if limits.full_max else 0).select("external_id")
-    rest = able.where("qualifies").join(F.broadcast(research), "external_id", "left_anti")
-    if limits.full_max:
-        top = Window.orderBy(F.desc("score"), "external_id")
-        taken = research.agg(F.count(F.lit(1)).alias("taken"))
-        general = _best(rest, limits.full_max).withColumn("place", F.row_number().over(top)).crossJoin(F.broadcast(taken)).where(F.col("place") + F.col("taken") <= limits.full_max)
-    else:
-        general = rest
-    full = research.unionByName(general.select("external_id"))
-    remaining = able.where("sampleable").join(full, "external_id", "left_anti")
-    sampled = (_best(remaining, limits.sampled_max) if limits.sampled_max else remaining).select("external_id")
-    wanted = able.where("qualifies").select("external_id").unionByName(research).distinct().agg(F.count(F.lit(1)).alias("wanted"))
-    left = remaining.agg(F.count(F.lit(1)).alias("left"))
-    binding = wanted.crossJoin(F.broadcast(left)).select((F.lit(limits.full_max > 0) & (F.col("wanted") > limits.full_max)).alias("full_binds"), (F.lit(limits.sampled_max > 0) & (F.col("left") > limits.sampled_max)).alias("sampled_binds"))
-    return {"research": research, "full": full, "sampled": sampled, "binding": binding}
+    """``research``, ``full`` and ``sampled`` ids, the one-row ``binding``, and ``chosen``: what the ceilings bound, as ``external_id, place``."""
+    chosen, counts = _selection(rows, limits)
+    binding = _binding(chosen, counts, limits)
+    chosen = chosen.select("external_id", "place")
+    able = rows.where("eligible")
+    ids = lambda *places: chosen.where(F.col("place").isin(*places)).select("external_id")
+    full = ids("research", "full") if limits.full_max else able.where("qualifies").select("external_id")
+    sampled = ids("sampled") if limits.sampled_max else able.where("sampleable").select("external_id").join(full, "external_id", "left_anti")
+    return {"chosen": chosen, "research": ids("research"), "full": full, "sampled": sampled, "binding": binding}
 
 
 def assign_tiers(rows: DataFrame, limits: Limits) -> DataFrame:
     """``external_id, tier, score, reasons, ceiling_binding`` of every scored market."""
-    chosen = select_tiers(rows, limits)
-    out = rows.join(chosen["full"].withColumn("is_full", F.lit(True)), "external_id", "left").join(chosen["sampled"].withColumn("is_sampled", F.lit(True)), "external_id", "left").crossJoin(F.broadcast(chosen["binding"]))
+    picked = select_tiers(rows, limits)
+    out = rows.join(F.broadcast(picked["chosen"]), "external_id", "left").crossJoin(F.broadcast(picked["binding"]))
+    out = out.withColumn("is_full", F.col("place").isin("research", "full") if limits.full_max else F.col("eligible") & F.col("qualifies"))
+    out = out.withColumn("is_sampled", F.col("place") == "sampled" if limits.sampled_max else F.col("eligible") & F.col("sampleable") & ~F.coalesce("is_full", F.lit(False)))
     full, sampled = F.coalesce("is_full", F.lit(False)), F.coalesce("is_sampled", F.lit(False))
     tier = F.when(full, FULL).when(sampled, SAMPLED).otherwise(NONE)
     more = lambda name: F.concat("reasons", F.array(F.lit(name)))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import health as g
 from ..operators import normalise as n
+from ..session import new_folder as folder
 from ..sources import archive as a
 from .q_book import real
 from .q_normalise import updates
@@ -28,12 +26,6 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def folder(spark, name: str) -> str:
-    """A new place in the shared folder of the session, or in a temporary one where it has none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{root.rstrip('/') if root else 'file://' + tempfile.mkdtemp(prefix='spark-archive-')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(spark, d) -> str:
     root = folder(spark, "archive")
     rows = n.encode_updates(updates(spark, d)).withColumn("connection_id", F.lit(1).cast("long"))

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 @query(
     "l3_observe_on_change",
-    """WITH RECURSIVE g AS (SELECT user_id AS token_key, unnest(range(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-22', INTERVAL 2 HOUR)) AS tick FROM (SELECT DISTINCT user_id FROM events)),
+    """WITH RECURSIVE g AS (SELECT user_id AS token_key, unnest(generate_series(low, high, INTERVAL 2 HOUR)) AS tick FROM (SELECT DISTINCT user_id FROM events), (SELECT date_trunc('hour', min(ts)) AS low, max(ts) AS high FROM events)),
 s AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) // 3 AS state FROM events),
 p AS (SELECT g.token_key, g.tick, s.state, row_number() OVER (PARTITION BY g.token_key ORDER BY g.tick) AS n FROM g ASOF JOIN s ON g.token_key = s.user_id AND g.tick >= s.ts),
 r AS (SELECT token_key, n, tick, state, true AS emitted, 'change' AS kind, state AS old, tick AS at FROM p WHERE n = 1
@@ -40,9 +40,10 @@ def _(spark, d):
     ev = table(spark, d, "events")
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     states = ev.select(F.col("user_id").alias("token_key"), "ts", "event_id", F.floor(F.row_number().over(order) / 3).alias("state"))
-    grid = F.sequence(*[F.lit(t).cast("timestamp_ntz") for t in ("2024-01-02", "2024-01-21 22:00:00")], F.expr("INTERVAL 2 HOURS"))
-    ticks = ev.select(F.col("user_id").alias("token_key")).distinct().withColumn("tick", F.explode(grid))
-    seen = book.last_before(ticks, states, "token_key", "tick", "ts", ["state"], ["event_id"]).where("state IS NOT NULL")
+    span = ev.agg(F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz").alias("low"), F.max("ts").alias("high"))  # one row
+    grid = F.explode(F.sequence("low", "high", F.expr("INTERVAL 2 HOURS")))
+    ticks = ev.select(F.col("user_id").alias("token_key")).distinct().crossJoin(F.broadcast(span)).select("token_key", grid.alias("tick"))
+    seen = book.last_before(ticks, states, ["token_key"], "tick", "ts", ["state"], ["event_id"]).where("state IS NOT NULL")
     return sampling.observe_on_change(seen, ["token_key"], "tick", "state", 12 * 3600)
 
 

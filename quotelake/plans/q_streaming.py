@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import normalise as n
 from ..streaming import jobs
 from .q_archive import CHANGED, folder
-from .q_book import BOOK, bk
+from .q_book import BOOK, CLOSING, bk, exact, metrics, snapshot_levels
 from .standins import view, with_views
 
 Q, SQL = {}, {}
@@ -25,8 +25,8 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def events(spark, d):
-    rows = jobs.landed(spark, d, "events.parquet", EVENTS)
+def events(spark, d, glob="events.parquet", files_per_batch=None):
+    rows = jobs.landed(spark, d, glob, EVENTS, files_per_batch)
     k = F.get_json_object("props", "$.k").cast("int")
     return rows.withColumns({"k": k, "us": F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts")), "ts": F.col("ts").cast("timestamp")})
 
@@ -57,32 +57,89 @@ def _(spark, d):
     return jobs.run_to_end(n.retention_policy(n.frames(raw), "errors"), folder(spark, "l5")).select("event_id", "message_type")
 
 
+def fed(spark, d, name: str, job, parts: int = 3):
+    """The sink of ``job`` (of a stream of events) after the events landed in parts by time; the stream stops after each and goes on from its checkpoint."""
+    rows = spark.read.parquet(f"{d}/events.parquet")
+    landing, path = folder(spark, f"{name}-landing"), folder(spark, name)
+    cuts = rows.agg(F.percentile_approx("ts", [i / parts for i in range(1, parts)])).first()[0] or []
+    part, out = F.lit(0), None
+    for cut in cuts:
+        part = part + (F.col("ts") >= F.lit(cut)).cast("int")
+    for i in range(len(cuts) + 1):
+        rows.where(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(landing)
+        out = jobs.run_to_end(job(events(spark, landing, "*.parquet")), path)
+    return out
+
+
 @query("l4_suppress_stream", CHANGED)
 def _(spark, d):
-    rows = events(spark, d).select(F.col("event_type").alias("provider"), (F.col("user_id") % 10).alias("instrument"), F.when(F.col("k") < 70, 1).otherwise(2 + F.col("k") % 2).cast("long").alias("price"), "us", F.col("event_id").alias("seq"))
-    out = jobs.stateful(rows, ["provider", "instrument"], jobs.SuppressUnchanged(12 * 3600), "provider string, instrument long, seq long")
-    return jobs.run_to_end(out, folder(spark, "l4")).drop("batch")
+    key = ["provider", "instrument"]
 
+    def job(rows):
+        rows = rows.select(F.col("event_type").alias("provider"), (F.col("user_id") % 10).alias("instrument"), F.when(F.col("k") < 70, 1).otherwise(2 + F.col("k") % 2).cast("decimal(18,6)").alias("price"), "us", F.col("event_id").alias("seq"))
+        return jobs.stateful(rows, key, jobs.SuppressUnchanged(12 * 3600, key, "us", ["seq"], "price", ["seq"], "decimal(18,6)"), "provider string, instrument long, seq long")
 
-@query("l7_l13_current_book_stream", bk(f"WITH {BOOK} SELECT token_key, epoch::BIGINT AS epoch, side, round(price::DOUBLE * 100)::BIGINT AS cents, round(size::DOUBLE, 6) AS size FROM bk"))
-def _(spark, d):
-    rows = events(spark, d)
+    return fed(spark, d, "l4", job).drop("batch")
+
+
+def book_changes(spark, d, name: str, resolving: bool = False):
+    """The sink of the current-book stream over the landed events."""
     snapshot = (F.col("event_type") == "signup") & (F.col("k") < 50)
     even = F.col("k") % 2 == 0
-    v = F.col("value").cast("decimal(18,2)")
-    rows = rows.where(~(snapshot & (F.col("k") % 5 == 0))).select(
-        F.col("user_id").alias("token_key"),
-        "us",
-        F.when(snapshot, 0).otherwise(1).alias("kind"),
-        F.col("event_id").alias("seq"),
-        F.when(even, 1).otherwise(2).alias("side"),
-        (F.when(even, 30).otherwise(60) + F.col("k") % 10).cast("long").alias("cents"),
-        F.expr("CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 4 ELSE 1 END").alias("action"),
-        F.when(F.col("event_type") == "purchase", v - 40).otherwise(v).cast("string").alias("x"),
-    )
-    out = jobs.run_to_end(jobs.stateful(rows, ["token_key"], jobs.CurrentBook(), "token_key long, epoch long, side int, cents long, size double"), folder(spark, "l7"))
-    last = out.groupBy("token_key").agg(F.max("batch").alias("batch"))
-    return out.join(last, ["token_key", "batch"]).where("side > 0").select("token_key", "epoch", "side", "cents", F.round("size", 6).alias("size"))
+    kind = F.when(snapshot, jobs.SNAPSHOT).otherwise(jobs.CHANGE)
+    ends = (F.col("event_type") == "error") & (F.col("k") >= 90)
+    kinds = F.when(ends, F.array(kind, F.lit(jobs.RESOLVE))).otherwise(F.array(kind)) if resolving else F.array(kind)
+
+    def job(rows):
+        rows = rows.withColumn("v", F.col("value").cast("decimal(18,2)")).where(~(snapshot & (F.col("k") % 5 == 0))).withColumn("kind", F.explode(kinds))
+        rows = rows.select(
+            F.col("user_id").alias("token_key"),
+            "us",
+            "kind",
+            F.col("event_id").alias("seq"),
+            F.when(snapshot, snapshot_levels()).alias("levels"),
+            F.when(even, 1).otherwise(2).alias("side"),
+            ((F.when(even, 30).otherwise(60) + F.col("k") % 10) * F.lit("0.010000").cast("decimal(7,6)")).cast("decimal(18,6)").alias("price"),
+            F.expr("CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 4 ELSE 1 END").alias("action"),
+            F.when(F.col("event_type") == "purchase", F.col("v") - 40).otherwise(F.col("v")).cast("decimal(38,6)").alias("x"),
+        )
+        return jobs.stateful(rows, ["token_key"], jobs.CurrentBook(), jobs.BOOK_CHANGES)
+
+    return fed(spark, d, name, job)
+
+
+@query("l7_l13_current_book_stream", bk(f"WITH {BOOK} SELECT token_key, epoch::BIGINT AS epoch, side, price::DECIMAL(38, 6)::VARCHAR AS price, size::DECIMAL(38, 6)::VARCHAR AS size FROM bk"))
+def _(spark, d):
+    return jobs.current_levels(book_changes(spark, d, "l7")).select("token_key", "epoch", "side", *exact("price", "size"))
+
+
+@query("l12_closing_stream", CLOSING)
+def _(spark, d):
+    """The books that the stream closed at the last resolving frame of each token."""
+    levels = jobs.closing_levels(book_changes(spark, d, "l12", resolving=True))
+    at = F.timestamp_add("MICROSECOND", F.col("us"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return metrics(levels.select("token_key", at.alias("tick"), "side", "price", "size"), "token_key", "tick")
+
+
+STAYS = """WITH RECURSIVE w AS (SELECT user_id, event_id AS seq, epoch_us(ts) AS us, CASE WHEN k >= 70 THEN 2 WHEN k >= 40 THEN 1 ELSE 0 END AS wanted, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+  FROM (SELECT *, (props->>'$.k')::INT AS k FROM events)),
+s AS (SELECT DISTINCT user_id, user_id % 3 AS tier, epoch_us(TIMESTAMP '2024-01-01 00:00:00') - 3600000000 * (user_id % 12) AS since FROM events WHERE user_id % 4 <> 0),
+r AS (SELECT w.user_id, w.n, w.seq, CASE WHEN go THEN wanted ELSE tier END AS tier, CASE WHEN go THEN us ELSE since END AS since FROM (SELECT w.*, s.tier, s.since, s.tier IS NULL OR wanted > s.tier OR (wanted < s.tier AND us - s.since >= 21600000000) AS go FROM w LEFT JOIN s USING (user_id) WHERE n = 1) w
+  UNION ALL SELECT user_id, n, seq, CASE WHEN go THEN wanted ELSE tier END, CASE WHEN go THEN us ELSE since END FROM (SELECT w.*, r.tier, r.since, wanted > r.tier OR (wanted < r.tier AND us - r.since >= 21600000000) AS go FROM r JOIN w ON w.user_id = r.user_id AND w.n = r.n + 1) w)
+SELECT user_id, seq, tier::INT AS tier, since::BIGINT AS since FROM r"""
+
+
+@query("l14_state_seed", STAYS)
+def _(spark, d):
+    """Stored tiers seed the state when the stream first starts; after a stop its own state goes on."""
+    users = spark.read.parquet(f"{d}/events.parquet").select("user_id").distinct().where("user_id % 4 <> 0")
+    stored = users.select("user_id", (F.col("user_id") % 3).cast("int").alias("tier"), F.expr("unix_micros(TIMESTAMP '2024-01-01 00:00:00') - 3600000000 * (user_id % 12)").alias("since"))
+
+    def job(rows):
+        rows = rows.select("user_id", "us", F.col("event_id").alias("seq"), F.when(F.col("k") >= 70, 2).when(F.col("k") >= 40, 1).otherwise(0).alias("wanted"))
+        return jobs.stateful(rows, ["user_id"], jobs.TierStay(6 * 3600, "user_id"), "user_id long, seq long, tier int, since long", stored)
+
+    return fed(spark, d, "l14", job).drop("batch")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +14,22 @@ UPDATES = T.StructType([T.StructField(c, T.LongType() if c in _LONGS else T.Inte
 NANOS_PER_HOUR = 3_600_000_000_000
 
 
-def hour_partitions(start: str, end: str, spark: SparkSession) -> DataFrame:
+def instant(time: str | datetime) -> datetime:
+    """A time in UTC, from ISO text or a datetime; one without an offset is UTC already."""
+    at = datetime.fromisoformat(time) if isinstance(time, str) else time
+    return at.astimezone(UTC) if at.tzinfo else at.replace(tzinfo=UTC)
+
+
+def nanos(at: datetime) -> int:
+    return (at - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1) * 1000
+
+
+def hour_partitions(start: str | datetime, end: str | datetime, spark: SparkSession) -> DataFrame:
     """``date, hour`` of the partitions that meet ``[start, end)``."""
-    low = F.date_trunc("hour", F.lit(start).cast("timestamp")).cast("timestamp_ntz")
-    high = F.timestamp_add("MICROSECOND", F.lit(-1), F.lit(end).cast("timestamp_ntz"))
-    hours = F.explode(F.sequence(low, high, F.expr("INTERVAL 1 HOUR")))
+    low, high = instant(start), instant(end) - timedelta(microseconds=1)
+    if low > high:
+        return spark.createDataFrame([], "date string, hour string")
+    hours = F.explode(F.sequence(*[F.lit(f"{t:%Y-%m-%d %H}:00:00").cast("timestamp_ntz") for t in (low, high)], F.expr("INTERVAL 1 HOUR")))
     return spark.range(1).select(hours.alias("h")).select(F.date_format("h", "yyyy-MM-dd").alias("date"), F.date_format("h", "HH").alias("hour"))
 
 
@@ -39,19 +52,21 @@ def write_archive(rows: DataFrame, root: str, exchange: str, stream: str, max_ro
     out.write.mode("append").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "3").option("parquet.enable.dictionary", "false").option("parquet.page.size", str(1 << 20)).option("maxRecordsPerFile", max_rows).partitionBy("date", "hour").parquet(path)
 
 
-def scan_archive(spark: SparkSession, root: str, stream: str, schema: T.StructType, start: str | None = None, end: str | None = None, market_keys: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Rows of a stream in ``[start, end)``.
+def scan_archive(spark: SparkSession, root: str, stream: str, schema: T.StructType, start: str | datetime | None = None, end: str | datetime | None = None, market_keys: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Rows of a stream in ``[start, end)``, given as ``instant`` takes them.
 
-    Bounds on date and hour are derived from the times, so whole directories are
-    pruned; the exact bounds reach the row groups.
+    Bounds on date and hour are derived from the instants, so whole directories
+    are pruned; the exact bounds reach the row groups.
     """
     kinds = T.StructType([*schema.fields, *T.StructType.fromDDL("schema_version int, exchange string, stream string, date string, hour string").fields])
     rows = spark.read.schema(kinds).option("basePath", root).parquet(root).where((F.col("schema_version") == SCHEMA_VERSION) & (F.col("stream") == stream))
-    for text, low in ((start, True), (end, False)):
-        if text is not None:
-            ns = (F.unix_micros(F.lit(f"{text}+00:00").cast("timestamp")) * 1000) if "+" not in text else F.unix_micros(F.lit(text).cast("timestamp")) * 1000
-            stamp = F.concat("date", F.lit(" "), "hour")
-            rows = rows.where((F.col("received_ts_ns") >= ns) & (stamp >= text[:13]) if low else (F.col("received_ts_ns") < ns) & (stamp <= text[:13]))
+    stamp = F.concat("date", F.lit(" "), "hour")
+    if start is not None:
+        low = instant(start)
+        rows = rows.where((F.col("received_ts_ns") >= nanos(low)) & (stamp >= f"{low:%Y-%m-%d %H}"))
+    if end is not None:
+        high = instant(end)
+        rows = rows.where((F.col("received_ts_ns") < nanos(high)) & (stamp <= f"{high - timedelta(microseconds=1):%Y-%m-%d %H}"))
     if market_keys is not None:
         rows = rows.join(market_keys, "market_key", "left_semi")
     return rows.select(*(columns or schema.names))
@@ -116,12 +131,19 @@ def compaction_plan(objects: DataFrame, as_of: Column, min_age_days: int, min_ob
     return rows.withColumn("chosen", F.count(F.lit(1)).over(part)).where(F.col("chosen") >= min_objects).drop("aged", "before", "chosen")
 
 
-def compact(spark: SparkSession, source: str, target: str, files: int) -> None:
-    """Merges a partition's files; fails unless the target has the same rows (count and order-free digest)."""
+def row_digest(rows: DataFrame) -> tuple:
+    """Count, xor and sum of two independent digests of all rows, in any order; repeated rows count."""
+    first, second = F.xxhash64(*rows.columns), F.xxhash64(F.lit("second"), *rows.columns)
+    return tuple(rows.agg(F.count(F.lit(1)), *[f for x in (first, second) for f in (F.bit_xor(x), F.sum(x.cast("decimal(38,0)")))]).first())
+
+
+def compact(spark: SparkSession, source: str, target: str, files: int, schema_version: int = SCHEMA_VERSION) -> None:
+    """Merges a partition's files without a shuffle; fails unless the target has the same rows, each as often. Only the current version's files are merged."""
+    if schema_version != SCHEMA_VERSION:
+        raise ValueError(f"files of version {schema_version} can't be merged with version {SCHEMA_VERSION}")
     rows = spark.read.parquet(source)
-    rows.repartition(files).write.parquet(target)
-    digest = [F.count(F.lit(1)), F.bit_xor(F.xxhash64(*rows.columns))]
-    if rows.agg(*digest).first() != spark.read.schema(rows.schema).parquet(target).agg(*digest).first():
+    rows.coalesce(files).write.parquet(target)
+    if row_digest(rows) != row_digest(spark.read.schema(rows.schema).parquet(target)):
         raise ValueError(f"{target} differs from {source}")
 
 

@@ -13,8 +13,11 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.book import BUY, DELETE, DELTA, SELL
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -26,7 +29,10 @@ def landed(spark: SparkSession, folder: str, file_glob: str, schema: str, files_
 
 
 def run_to_end(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Runs the stream over all that has landed; returns the sink's rows with their ``batch`` number."""
+    """Runs the stream over all that has landed since its last stop; returns the sink's rows with their ``batch`` number.
+
+    The checkpoint below ``path`` keeps offsets and state, so a later call goes on where the last one stopped.
+    """
     spark = stream.sparkSession
 
     def save(rows: DataFrame, batch: int) -> None:
@@ -38,7 +44,9 @@ def run_to_end(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
         stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(PROVIDER, old) if old else spark.conf.unset(PROVIDER)
-    return spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows").drop("part")
+    empty = spark.createDataFrame([], T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())]))
+    empty.write.mode("ignore").parquet(f"{path}/rows/part=-1")  # a sink that nothing has reached yet reads as empty
+    return spark.read.schema(empty.schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows").select(*empty.columns)
 
 
 def newest(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -72,63 +80,158 @@ def route(rows: DataFrame, tiers: DataFrame, pressure: Column) -> DataFrame:
     return rows.withColumns({"to_archive": archive, "to_hot": hot})
 
 
+def in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    """A key's rows of one micro-batch, sorted; ``files_per_batch`` bounds them."""
+    return pd.concat(list(rows)).sort_values(order)
+
+
 class SuppressUnchanged(StatefulProcessor):
-    """Keeps a row unless it equals the last kept one and ``seconds`` haven't passed; older rows than that are ignored."""
+    """Keeps a row unless it equals the last kept one and ``seconds`` haven't passed; a row older than the last one seen is ignored.
 
-    def __init__(self, seconds: int):
-        self.step = seconds * 1_000_000
+    time: microseconds; order: columns that make the order total after it; kept:
+    what is given of a kept row. The state has the last kept row's time and value
+    and the last seen order key.
+    """
+
+    def __init__(self, seconds: int, key: list[str], time: str, order: list[str], value: str, kept: list[str], value_type: str = "string", order_type: str = "long"):
+        self.step, self.key, self.time, self.order, self.value, self.kept = seconds * 1_000_000, key, time, order, value, kept
+        self.schema = f"us long, value {value_type}, seen_us long, " + ", ".join(f"seen{i} {order_type}" for i in range(len(order)))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us long, price long")
+        self.last = handle.getValueState("last", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["us", "seq"])
-        last = self.last.get() if self.last.exists() else None
+        frame = in_order(rows, [self.time, *self.order])
+        state = self.last.get() if self.last.exists() else None
+        us, value, seen = (state[0], state[1], tuple(state[2:])) if state else (None, None, None)
         kept = []
-        for us, price, seq in zip(frame["us"], frame["price"], frame["seq"], strict=True):
-            if last is None or price != last[1] or us - last[0] >= self.step:
-                last = (int(us), int(price))
-                kept.append((*key, int(seq)))
-        if last is not None:
-            self.last.update(last)
-        yield pd.DataFrame(kept, columns=["provider", "instrument", "seq"])
+        places = zip(*(frame[c].tolist() for c in [self.time, *self.order]), strict=True)
+        for i, (place, x) in enumerate(zip(places, frame[self.value].tolist(), strict=True)):
+            if seen is not None and place <= seen:
+                continue
+            seen = place
+            if us is None or x != value or place[0] - us >= self.step:
+                us, value = place[0], x
+                kept.append(i)
+        if seen is not None:
+            self.last.update((us, value, *seen))
+        out = frame.iloc[kept][self.kept]
+        for i, c in reversed(list(enumerate(self.key))):
+            out.insert(0, c, key[i])
+        yield out
 
     def close(self) -> None:
         pass
 
 
+BOOK_CHANGES = "token_key long, epoch long, us long, seq long, change string, side int, price decimal(18,6), size decimal(38,6)"
+SNAPSHOT, CHANGE, RESOLVE = 0, 1, 2
+
+
 class CurrentBook(StatefulProcessor):
-    """A token's book: levels in a map state, epoch and the last applied order key in a value state."""
+    """A token's book: levels in a map state, epoch and the last applied order key in a value state.
+
+    Rows have ``us, kind, seq``; a snapshot (kind 0) has ``levels``, an array of
+    (side, price, size), of which the last usable one of a place counts; a change
+    (kind 1) has ``side, price, action, x``; a resolving frame (kind 2) closes the
+    book as it stands. Rows at or before the last applied one are ignored.
+
+    Given of a micro-batch (``BOOK_CHANGES``): a ``head`` row, ``level`` rows of the
+    places that changed (size 0: gone) in the epoch it ends in, and for each
+    resolving frame the ``closing`` rows of all levels, with a ``closed`` row.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.levels = handle.getMapState("levels", "side int, cents long", "size string")
+        self.levels = handle.getMapState("levels", "side int, price decimal(18,6)", "size decimal(38,6)")
         self.head = handle.getValueState("head", "epoch long, us long, kind int, seq long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["us", "kind", "seq"])
-        epoch, *last = self.head.get() if self.head.exists() else (0, -1, 0, 0)
-        book = {k: Decimal(v[0]) for k, v in self.levels.iterator()} if epoch else {}
-        for us, kind, seq, side, cents, action, x in zip(*(frame[c] for c in ("us", "kind", "seq", "side", "cents", "action", "x")), strict=True):
-            if (us, kind, seq) <= tuple(last):
+        frame = in_order(rows, ["us", "kind", "seq"])
+        first, *last = self.head.get() if self.head.exists() else (0, -1, 0, 0)
+        epoch, last = first, tuple(last)
+        before = {tuple(k): v[0] for k, v in self.levels.iterator()} if epoch else {}
+        book, out = dict(before), []
+        for us, kind, seq, levels, side, price, action, x in zip(*(frame[c].tolist() for c in ("us", "kind", "seq", "levels", "side", "price", "action", "x")), strict=True):
+            if (us, kind, seq) <= last:
                 continue  # late: something newer was applied
-            last, x = (int(us), int(kind), int(seq)), Decimal(str(x))
-            if kind == 0:
-                epoch, book = epoch + 1, {(s, c): x for s, c in ((1, 30), (2, 70)) if x > 0}
-            elif epoch:
-                place = (int(side), int(cents))
-                size = book.get(place, Decimal(0)) + x if action == 4 else Decimal(0) if action == 2 else x
-                book.pop(place, None) if size <= 0 else book.__setitem__(place, size)
-        self.head.update((int(epoch), *last))
-        self.levels.clear()
-        for place, size in book.items():
-            self.levels.updateValue(place, (str(size),))
-        out = [(*key, int(epoch), s, c, float(size)) for (s, c), size in book.items()]
-        out.append((*key, int(epoch), 0, 0, 0.0))  # marks the version, also of an empty book
-        yield pd.DataFrame(out, columns=["token_key", "epoch", "side", "cents", "size"])
+            last = (us, kind, seq)
+            side, action = (None if pd.isna(v) else int(v) for v in (side, action))  # pandas holds integers with gaps as floats
+            if kind == SNAPSHOT:
+                epoch, book = epoch + 1, {(v["side"], v["price"]): v["size"] for v in levels if v["size"] and v["size"] > 0 and v["price"] is not None and v["side"] in (BUY, SELL)}
+            elif kind == RESOLVE:
+                if epoch:
+                    out += [(*key, epoch, us, seq, "closing", s, p, n) for (s, p), n in book.items()] + [(*key, epoch, us, seq, "closed", 0, None, None)]
+            elif epoch and side in (BUY, SELL) and price is not None and (action == DELETE or x is not None):
+                size = book.get((side, price), Decimal(0)) + x if action == DELTA else Decimal(0) if action == DELETE else x
+                book.pop((side, price), None) if size <= 0 else book.__setitem__((side, price), size)
+        self.head.update((epoch, *last))
+        gone = before.keys() - book.keys()
+        for place in gone:
+            self.levels.removeKey(place)
+        changed = [place for place, size in book.items() if epoch != first or before.get(place) != size]
+        for place in changed:
+            if before.get(place) != book[place]:
+                self.levels.updateValue(place, (book[place],))
+        now = (*key, epoch, *last[::2])
+        out += [(*now, "level", s, p, book[s, p]) for s, p in changed]
+        if epoch == first:
+            out += [(*now, "level", s, p, Decimal(0)) for s, p in gone]
+        out.append((*now, "head", 0, None, None))
+        yield pd.DataFrame(out, columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
+
+    def close(self) -> None:
+        pass
+
+
+def current_levels(changes: DataFrame) -> DataFrame:
+    """The books as they stand after a sink's ``CurrentBook`` rows: ``token_key, epoch, side, price, size``."""
+    rows = changes.where(F.col("change").isin("head", "level"))
+    newest = rows.groupBy("token_key").agg(F.max("epoch").alias("epoch"))
+    last = rows.where("change = 'level'").groupBy("token_key", "epoch", "side", "price").agg(F.max_by("size", "batch").alias("size"))
+    return last.join(newest, ["token_key", "epoch"]).where("size > 0")
+
+
+def closing_levels(changes: DataFrame) -> DataFrame:
+    """Each token's levels at its last resolving frame: ``token_key, us, side, price, size``; a book that was empty then gives none."""
+    newest = changes.where("change = 'closed'").groupBy("token_key").agg(F.max(F.struct("us", "seq")).alias("at"))
+    rows = changes.where("change = 'closing'").join(newest, "token_key").where(F.struct("us", "seq") == F.col("at"))
+    return rows.select("token_key", "us", "side", "price", "size")
+
+
+class TierStay(StatefulProcessor):
+    """Tiers that rise at once but fall only after ``seconds`` in a tier; a stored tier and its time seed the state.
+
+    Rows have ``us, seq, wanted``; tiers are numbers, the higher the better. Seeds
+    have ``tier, since`` (microseconds) and apply when a stream first starts; after
+    a stop, its own state goes on. Given: ``seq, tier, since`` after each row.
+    """
+
+    def __init__(self, seconds: int, key: str):
+        self.step, self.key = seconds * 1_000_000, key
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stay = handle.getValueState("stay", "tier int, since long")
+
+    def handleInitialState(self, key, seed: pd.DataFrame, timerValues) -> None:
+        newest = seed.sort_values("since").iloc[-1]
+        self.stay.update((int(newest["tier"]), int(newest["since"])))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = in_order(rows, ["us", "seq"])
+        tier, since = self.stay.get() if self.stay.exists() else (None, None)
+        out = []
+        for us, seq, wanted in zip(*(frame[c].tolist() for c in ("us", "seq", "wanted")), strict=True):
+            if tier is None or wanted > tier or (wanted < tier and us - since >= self.step):
+                tier, since = wanted, us
+            out.append((*key, seq, tier, since))
+        self.stay.update((tier, since))
+        yield pd.DataFrame(out, columns=[self.key, "seq", "tier", "since"])
 
     def close(self) -> None:
         pass
 
 
-def stateful(stream: DataFrame, key: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
-    return stream.groupBy(*key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
+def stateful(stream: DataFrame, key: list[str], processor: StatefulProcessor, schema: str, seed: DataFrame | None = None) -> DataFrame:
+    """seed: rows for the processor's initial state, of the same key."""
+    initial = seed.groupBy(*key) if seed is not None else None
+    return stream.groupBy(*key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None", initialState=initial)
