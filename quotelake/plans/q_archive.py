@@ -9,7 +9,7 @@ from ..operators import health as g
 from ..operators import normalise as n
 from ..session import new_folder as folder
 from ..sources import archive as a
-from .q_book import real
+from .q_book import exact
 from .q_normalise import updates
 from .standins import table, view, with_views
 
@@ -221,9 +221,9 @@ def _(spark, d):
     return g.throughput(table(spark, d, "events"), "event_type", "ts")
 
 
-@query("g9_ohlc", with_views("md_trades", "SELECT market, date_trunc('hour', executed_at) AS start, round(arg_min(price, (executed_at, trade_id))::DOUBLE, 6) AS open, round(max(price)::DOUBLE, 6) AS high, round(min(price)::DOUBLE, 6) AS low, round(arg_max(price, (executed_at, trade_id))::DOUBLE, 6) AS close, round(sum(size)::DOUBLE, 6) AS volume FROM md_trades GROUP BY ALL"))
+@query("g9_ohlc", with_views("md_trades", "SELECT market, date_trunc('hour', executed_at) AS start, arg_min(price, (executed_at, trade_id))::DECIMAL(38, 6)::VARCHAR AS open, max(price)::DECIMAL(38, 6)::VARCHAR AS high, min(price)::DECIMAL(38, 6)::VARCHAR AS low, arg_max(price, (executed_at, trade_id))::DECIMAL(38, 6)::VARCHAR AS close, sum(size)::DECIMAL(38, 6)::VARCHAR AS volume FROM md_trades GROUP BY ALL"))
 def _(spark, d):
-    return g.ohlc(view(spark, d, "md_trades"), "market", "executed_at", ["trade_id"]).select("market", "start", *real("open", "high", "low", "close", "volume"))
+    return g.ohlc(view(spark, d, "md_trades"), "market", "executed_at", ["trade_id"]).select("market", "start", *exact("open", "high", "low", "close", "volume"))
 
 
 @query("g10_rejects_summary", "WITH r AS (SELECT event_type AS reason, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events WHERE value > 200) SELECT reason, count(*) AS rejected, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (n <= 10) AS samples FROM r GROUP BY reason")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import from_micros, micros
 from ..operators import history as h
-from .q_book import real
+from .q_book import exact
 from .standins import view, with_views
 
 Q, SQL = {}, {}
@@ -42,9 +42,9 @@ def _(spark, d):
     return view(spark, d, "md_polls").select("market", "seq", h.digest("status").alias("content"))
 
 
-@query("v2_scd2_history", po(f"WITH {V} SELECT market, version_number::BIGINT AS version_number, status, valid_from, valid_to, last_observed_at, observations, round(volume::DOUBLE, 6) AS volume FROM ver"))
+@query("v2_scd2_history", po(f"WITH {V} SELECT market, version_number::BIGINT AS version_number, status, valid_from, valid_to, last_observed_at, observations, volume::DECIMAL(38, 6)::VARCHAR AS volume FROM ver"))
 def _(spark, d):
-    return versions(spark, d).select("market", "version_number", "status", "valid_from", "valid_to", "last_observed_at", "observations", *real("volume"))
+    return versions(spark, d).select("market", "version_number", "status", "valid_from", "valid_to", "last_observed_at", "observations", *exact("volume"))
 
 
 @query("v3_version_clock_merge", po(f"WITH {V} SELECT market, version_number::BIGINT AS version_number, source_ts FROM ver"))
@@ -60,11 +60,11 @@ def _(spark, d):
     return h.mark_stale(view(spark, d, "md_polls"), ["market"], ["seq"], "source_ts", "observed_at").select("market", "seq", "stale")
 
 
-@query("v5_sparse_patch", po("SELECT market, arg_max(status, seq) FILTER (status <> 'view') AS status, round((arg_max(volume, seq) FILTER (seq % 2 = 0))::DOUBLE, 6) AS volume FROM md_polls GROUP BY market"))
+@query("v5_sparse_patch", po("SELECT market, arg_max(status, seq) FILTER (status <> 'view') AS status, (arg_max(volume, seq) FILTER (seq % 2 = 0))::DECIMAL(38, 6)::VARCHAR AS volume FROM md_polls GROUP BY market"))
 def _(spark, d):
     """Rows that each patch some fields, laid over each other."""
     rows = view(spark, d, "md_polls").select("market", "seq", F.when(F.col("status") != "view", F.col("status")).alias("status"), F.when(F.col("seq") % 2 == 0, F.col("volume")).alias("volume"))
-    return h.merge_rows(rows, ["market"], ["seq"], ["status", "volume"]).select("market", "status", *real("volume"))
+    return h.merge_rows(rows, ["market"], ["seq"], ["status", "volume"]).select("market", "status", *exact("volume"))
 
 
 CONFIG = "u AS (SELECT scope_id, cfg_type, effective_from, arg_max(setting, id) AS setting, max(id) AS id FROM cfg_rows GROUP BY ALL)"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import keyed as k
-from .q_book import real
+from .q_book import exact
 from .standins import table, view, with_views
 
 Q, SQL = {}, {}
@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-@query("k1_trades_dedup", with_views("md_trades", "SELECT trade_id, market, round(price::DOUBLE, 6) AS price, 0 AS arrival FROM md_trades"))
+@query("k1_trades_dedup", with_views("md_trades", "SELECT trade_id, market, price::DECIMAL(38, 6)::VARCHAR AS price, 0 AS arrival FROM md_trades"))
 def _(spark, d):
     """Repeated trades, spelt otherwise, keep the first arrival."""
     rows = view(spark, d, "md_trades").withColumn("arrival", F.lit(0))
@@ -30,7 +30,7 @@ def _(spark, d):
     c = F.col
     print_ = s.trade_fingerprint(F.lit("pm"), c("market"), c("token"), c("executed_at"), c("price"), c("size"), c("side"), c("trade_id"))
     both = again.unionByName(rows).withColumn("fingerprint", print_)
-    return k.keep_first(both, ["fingerprint"], ["arrival"]).select("trade_id", "market", *real("price"), "arrival")
+    return k.keep_first(both, ["fingerprint"], ["arrival"]).select("trade_id", "market", *exact("price"), "arrival")
 
 
 @query("k2_k3_lifecycle_dedup", with_views("ev mk_markets", "WITH f AS (SELECT event_type AS kind, 'm' || user_id AS market, min(event_id) AS event_id FROM ev WHERE event_type IN ('signup', 'error') GROUP BY ALL) SELECT kind, market, f.event_id, m.o_custkey FROM f LEFT JOIN (SELECT external_id, event_id AS o_custkey FROM mk_markets WHERE active) m ON m.external_id = f.market"))
@@ -48,10 +48,10 @@ def _(spark, d):
     return k.upsert(rows.unionByName(edits), ["conv_id", "turn"], ["edit"], ["text"]).select("conv_id", "turn", "role", "text")
 
 
-@query("k5_candles_upsert", with_views("md_trades", "SELECT market, date_trunc('hour', executed_at) AS start, round((arg_max(price, (executed_at, trade_id)))::DOUBLE, 6) AS close FROM md_trades GROUP BY ALL"))
+@query("k5_candles_upsert", with_views("md_trades", "SELECT market, date_trunc('hour', executed_at) AS start, (arg_max(price, (executed_at, trade_id)))::DECIMAL(38, 6)::VARCHAR AS close FROM md_trades GROUP BY ALL"))
 def _(spark, d):
     rows = view(spark, d, "md_trades").withColumn("start", F.date_trunc("hour", "executed_at").cast("timestamp_ntz")).withColumnRenamed("price", "close")
-    return k.keep_last(rows, ["market", "start"], ["executed_at", "trade_id"]).select("market", "start", *real("close"))
+    return k.keep_last(rows, ["market", "start"], ["executed_at", "trade_id"]).select("market", "start", *exact("close"))
 
 
 @query("k6_holders_dedup", "SELECT o_custkey AS holder, o_orderdate AS observed, min(o_orderkey) AS orderkey FROM orders GROUP BY ALL")

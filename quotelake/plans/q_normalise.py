@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import normalise as n
-from .q_book import real
+from .q_book import exact, real
 from .standins import table, view, with_views
 
 Q, SQL = {}, {}
@@ -42,9 +42,9 @@ def mk(sql: str) -> str:
     return with_views("mk_markets", sql)
 
 
-@query("n1_market_candidate", mk("SELECT external_id, active AND NOT closed AND NOT archived AS active, active AND NOT closed AND NOT archived AND book AND accepting AND n_tokens > 0 AS tradable, CASE WHEN o_orderkey % 97 <> 0 THEN round(liquidity::DOUBLE, 6) END AS liquidity, round(volume_24h::DOUBLE, 6) AS volume_24h, CASE WHEN o_orderkey % 5 = 0 THEN open_time - INTERVAL 1 DAY ELSE close_time END AS close_time, coalesce(tokens, '') AS tokens FROM mk_markets WHERE o_orderkey % 89 <> 0"))
+@query("n1_market_candidate", mk("SELECT external_id, active AND NOT closed AND NOT archived AS active, active AND NOT closed AND NOT archived AND book AND accepting AND n_tokens > 0 AS tradable, CASE WHEN o_orderkey % 97 <> 0 THEN liquidity::DECIMAL(38, 6)::VARCHAR END AS liquidity, volume_24h::DECIMAL(38, 6)::VARCHAR AS volume_24h, CASE WHEN o_orderkey % 5 = 0 THEN open_time - INTERVAL 1 DAY ELSE close_time END AS close_time, coalesce(tokens, '') AS tokens FROM mk_markets WHERE o_orderkey % 89 <> 0"))
 def _(spark, d):
-    return n.market_candidates(raw_markets(spark, d)).select("external_id", "active", "tradable", *real("liquidity", "volume_24h"), "close_time", F.array_join("tokens", ",").alias("tokens"))
+    return n.market_candidates(raw_markets(spark, d)).select("external_id", "active", "tradable", *exact("liquidity", "volume_24h"), "close_time", F.array_join("tokens", ",").alias("tokens"))
 
 
 @query("n2_n3_market_rows", mk("SELECT CASE WHEN o_orderkey % 89 <> 0 THEN external_id END AS external_id, 'Q ' || external_id AS question, 'binary' AS market_type, CASE WHEN book THEN 'resolved' WHEN closed THEN 'closed' WHEN archived THEN 'archived' WHEN active AND accepting THEN 'active' ELSE 'paused' END AS status, open_time, CASE WHEN o_orderkey % 5 <> 0 THEN close_time END AS close_time, book AS enable_order_book FROM mk_markets"))
@@ -86,9 +86,9 @@ def raw_trades(spark, d):
     return rows.select(F.to_json(body).alias("payload"))
 
 
-@query("n9_trade_normalise", with_views("md_trades", "SELECT market, token::VARCHAR AS token, round(price::DOUBLE, 6) AS price, round(size::DOUBLE, 6) AS size, side, executed_at, trade_id::VARCHAR AS trade_id FROM md_trades WHERE trade_id % 10 <> 0"))
+@query("n9_trade_normalise", with_views("md_trades", "SELECT market, token::VARCHAR AS token, price::DECIMAL(38, 6)::VARCHAR AS price, size::DECIMAL(38, 6)::VARCHAR AS size, side, executed_at, trade_id::VARCHAR AS trade_id FROM md_trades WHERE trade_id % 10 <> 0"))
 def _(spark, d):
-    return n.trades(raw_trades(spark, d)).select("market", "token", *real("price", "size"), "side", "executed_at", "trade_id")
+    return n.trades(raw_trades(spark, d)).select("market", "token", *exact("price", "size"), "side", "executed_at", "trade_id")
 
 
 def raw_books(spark, d):
@@ -113,21 +113,21 @@ def _(spark, d):
     return n.book_headers(n.books(raw_books(spark, d))).select("token", *real("best_bid", "best_ask", "midpoint", "spread", "bid_depth", "ask_depth"), "level_count")
 
 
-@query("n12_price_changes", with_views("bk_events", "SELECT 'm' || token_key AS market, seq::VARCHAR AS token, round(price::DOUBLE, 6) AS price, round(x::DOUBLE, 6) AS size, side::TINYINT::INT AS side, CASE WHEN x > 0 THEN 'set' ELSE 'delete' END AS action FROM bk_events WHERE kind = 1 AND k % 11 <> 0"))
+@query("n12_price_changes", with_views("bk_events", "SELECT 'm' || token_key AS market, seq::VARCHAR AS token, price::DECIMAL(38, 6)::VARCHAR AS price, x::DECIMAL(38, 6)::VARCHAR AS size, side::TINYINT::INT AS side, CASE WHEN x > 0 THEN 'set' ELSE 'delete' END AS action FROM bk_events WHERE kind = 1 AND k % 11 <> 0"))
 def _(spark, d):
     rows = view(spark, d, "bk_events").where("kind = 1")
     change = F.struct(F.col("seq").cast("string").alias("asset_id"), F.col("price").cast("string").alias("price"), F.col("x").cast("string").alias("size"), F.when(F.col("k") % 11 != 0, F.when(F.col("side") == 1, "BUY").otherwise("SELL")).alias("side"))
     raw = rows.groupBy("token_key").agg(F.to_json(F.struct(F.concat(F.lit("m"), F.col("token_key").cast("string")).alias("market"), F.lit("1700000000000").alias("timestamp"), F.collect_list(change).alias("price_changes"))).alias("payload"))
-    return n.price_changes(raw).select("market", "token", *real("price", "size"), F.col("side").cast("int").alias("side"), "action")
+    return n.price_changes(raw).select("market", "token", *exact("price", "size"), F.col("side").cast("int").alias("side"), "action")
 
 
-@query("n13_reference_normalise", with_views("ref_prices", "SELECT CASE WHEN seq % 2 = 0 THEN 'p1' ELSE 'p2' END AS provider, provider AS instrument, ts, round(price::DOUBLE, 6) AS price, 'live' AS source_status FROM ref_prices WHERE seq % 3 <> 2"))
+@query("n13_reference_normalise", with_views("ref_prices", "SELECT CASE WHEN seq % 2 = 0 THEN 'p1' ELSE 'p2' END AS provider, provider AS instrument, ts, price::DECIMAL(38, 6)::VARCHAR AS price, 'live' AS source_status FROM ref_prices WHERE seq % 3 <> 2"))
 def _(spark, d):
     rows = view(spark, d, "ref_prices")
     us = F.expr("CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS STRING)")
     topic = F.expr("CASE WHEN seq % 3 = 2 THEN 'other' WHEN seq % 2 = 0 THEN 'a_twap' ELSE 'b_spot' END")
     body = F.struct(topic.alias("topic"), F.struct(F.upper("provider").alias("symbol"), us.alias("timestamp"), F.col("price").cast("string").alias("value"), F.concat(F.col("price").cast("string"), F.lit("0" * 18)).alias("full_accuracy_value")).alias("payload"))
-    return n.reference_prices(rows.select(F.to_json(body).alias("payload")), {"a_twap": "p1", "b_spot": "p2"}).select("provider", "instrument", "ts", *real("price"), "source_status")
+    return n.reference_prices(rows.select(F.to_json(body).alias("payload")), {"a_twap": "p1", "b_spot": "p2"}).select("provider", "instrument", "ts", *exact("price"), "source_status")
 
 
 @query("n14_comment_normalise", "SELECT conv_id || '-' || turn AS comment_id, 'c' || conv_id AS parent, role AS author, text AS body FROM conversations")
@@ -150,10 +150,10 @@ def _(spark, d):
     return n.lifecycle_patches(table(spark, d, "events").select(F.to_json(body).alias("payload"))).select("market", "event_type", *real("tick_size"), "status", F.array_join("patched_fields", ",").alias("patched"))
 
 
-@query("n18_candle_points", with_views("md_trades", "SELECT token, date_trunc('minute', executed_at) AS start, round(price::DOUBLE, 6) AS open, round(price::DOUBLE, 6) AS close FROM md_trades"))
+@query("n18_candle_points", with_views("md_trades", "SELECT token, date_trunc('minute', executed_at) AS start, price::DECIMAL(38, 6)::VARCHAR AS open, price::DECIMAL(38, 6)::VARCHAR AS close FROM md_trades"))
 def _(spark, d):
     points = view(spark, d, "md_trades").select("token", F.col("executed_at").alias("ts"), "price")
-    return n.candles(points).select("token", "start", *real("open", "close"))
+    return n.candles(points).select("token", "start", *exact("open", "close"))
 
 
 @query("n19_holders_explode", "WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rank FROM orders) SELECT o_custkey::VARCHAR AS token, rank::INT AS rank, o_orderkey::VARCHAR AS holder, round(o_totalprice, 6) AS amount FROM r WHERE o_orderkey % 4 <> 0")
@@ -188,9 +188,9 @@ def updates(spark, d):
     return rows.select("seq", F.concat(F.lit("m"), c("token_key").cast("string")).alias("market"), c("token_key").cast("string").alias("token"), "ts", F.when(c("side") == 1, "buy").otherwise("ask").alias("side"), F.element_at(F.array(*map(F.lit, ("set", "delete", "reset", "delta"))), c("action")).alias("action"), c("price").cast("string").alias("price"), c("x").cast("string").alias("size"))
 
 
-@query("n23_a17_encode_roundtrip", with_views("bk_events", "SELECT ts, side, action, round(price::DOUBLE, 6) AS price, round(x::DOUBLE, 6) AS size FROM bk_events WHERE kind = 1"))
+@query("n23_a17_encode_roundtrip", with_views("bk_events", "SELECT ts, side, action, price::DECIMAL(38, 6)::VARCHAR AS price, x::DECIMAL(38, 6)::VARCHAR AS size FROM bk_events WHERE kind = 1"))
 def _(spark, d):
-    return n.decode_updates(n.encode_updates(updates(spark, d))).select("ts", F.col("side").cast("int").alias("side"), F.col("action").cast("int").alias("action"), *real("price", "size"))
+    return n.decode_updates(n.encode_updates(updates(spark, d))).select("ts", F.col("side").cast("int").alias("side"), F.col("action").cast("int").alias("action"), *exact("price", "size"))
 
 
 @query("n24_invalid_metrics", "WITH b AS (SELECT 'm' || o_orderkey AS id FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey % 89 <> 0) SELECT 'liquidityNum' AS metric, count(*) AS invalid, (SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT id FROM b ORDER BY id LIMIT 10)) AS samples FROM b")

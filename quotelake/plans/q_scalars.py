@@ -31,9 +31,9 @@ def texts(spark, d):
 DUCK_TEXT = "WITH r AS (SELECT *, " + TEXT.replace("{t}", "VARCHAR") + " AS raw FROM events) "
 
 
-@query("s1_as_decimal", DUCK_TEXT + "SELECT event_id, round(try_cast(trim(raw) AS DECIMAL(38, 18))::DOUBLE, 6) AS number FROM r")
+@query("s1_as_decimal", DUCK_TEXT + "SELECT event_id, try_cast(trim(raw) AS DECIMAL(38, 18))::VARCHAR AS number FROM r")
 def _(spark, d):
-    return texts(spark, d).withColumn("number", s.as_decimal(F.col("raw"))).select("event_id", *real("number"))
+    return texts(spark, d).withColumn("number", s.as_decimal(F.col("raw"))).select("event_id", F.col("number").cast("decimal(38,18)").cast("string").alias("number"))
 
 
 @query("s2_as_int", DUCK_TEXT + r"SELECT event_id, CASE WHEN regexp_matches(trim(raw), '^[+-]?\d+$') THEN try_cast(trim(raw) AS BIGINT) END AS number FROM r")

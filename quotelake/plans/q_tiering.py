@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tiering as t
-from .q_book import real
+from .q_book import exact, real
 from .standins import view, with_views
 
 Q, SQL = {}, {}
@@ -77,9 +77,9 @@ def mk(sql: str) -> str:
     return with_views("bk_events md_trades mk_markets mk_prev_tiers", sql)
 
 
-@query("t1_activity_window", mk(f"WITH {ACT} SELECT market, trade_count::BIGINT AS trade_count, round(trade_volume::DOUBLE, 6) AS trade_volume, update_count::BIGINT AS update_count FROM act"))
+@query("t1_activity_window", mk(f"WITH {ACT} SELECT market, trade_count::BIGINT AS trade_count, trade_volume::DECIMAL(38, 6)::VARCHAR AS trade_volume, update_count::BIGINT AS update_count FROM act"))
 def _(spark, d):
-    return t.activity(*moves(spark, d), ntz(AT), 6 * 3600).select("market", "trade_count", *real("trade_volume"), "update_count")
+    return t.activity(*moves(spark, d), ntz(AT), 6 * 3600).select("market", "trade_count", *exact("trade_volume"), "update_count")
 
 
 @query("w8_rolling_activity", mk("SELECT trade_id, count(*) OVER w AS trade_count, round(sum(size) OVER w::DOUBLE, 6) AS trade_volume FROM md_trades WINDOW w AS (PARTITION BY market ORDER BY executed_at RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)"))
@@ -98,9 +98,9 @@ def _(spark, d):
     return scored(spark, d).where("NOT eligible").select("external_id", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query("t2_t3_tier_score", mk(f"WITH {SCORED} SELECT external_id, round(score::DOUBLE, 6) AS score, reasons FROM sc WHERE eligible"))
+@query("t2_t3_tier_score", mk(f"WITH {SCORED} SELECT external_id, score::DECIMAL(38, 6)::VARCHAR AS score, reasons FROM sc WHERE eligible"))
 def _(spark, d):
-    return scored(spark, d).where("eligible").select("external_id", *real("score"), F.array_join("reasons", ",").alias("reasons"))
+    return scored(spark, d).where("eligible").select("external_id", *exact("score"), F.array_join("reasons", ",").alias("reasons"))
 
 
 @query("t4_hysteresis", mk(f"WITH {SCORED} SELECT external_id, qualifies, interesting, sampleable FROM sc WHERE eligible"))
@@ -128,9 +128,9 @@ def _(spark, d):
     return t.select_tiers(scored(spark, d), LIMITS)["binding"]
 
 
-@query("t9_assign_tiers", mk(f"WITH {CHOSEN} SELECT external_id, tier, round(score::DOUBLE, 6) AS score, reasons, ceiling_binding FROM asg"))
+@query("t9_assign_tiers", mk(f"WITH {CHOSEN} SELECT external_id, tier, score::DECIMAL(38, 6)::VARCHAR AS score, reasons, ceiling_binding FROM asg"))
 def _(spark, d):
-    return t.assign_tiers(scored(spark, d), LIMITS).select("external_id", "tier", *real("score"), F.array_join("reasons", ",").alias("reasons"), "ceiling_binding")
+    return t.assign_tiers(scored(spark, d), LIMITS).select("external_id", "tier", *exact("score"), F.array_join("reasons", ",").alias("reasons"), "ceiling_binding")
 
 
 @query("t10_tier_counts", mk(f"WITH {CHOSEN} SELECT tier, CASE WHEN tier = 'none' THEN string_split(reasons, ',')[-1] END AS reason, count(*) AS markets, count(*) FILTER (ceiling_binding) AS bound FROM asg GROUP BY ALL"))
