@@ -11,19 +11,10 @@ from ..session import new_folder as folder
 from ..sources import archive as a
 from .q_book import exact
 from .q_normalise import updates
+from .registry import family
 from .standins import table, view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 def written(spark, d) -> str:

@@ -6,19 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book
+from .registry import family
 from .standins import table, view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 def real(*names: str) -> list:

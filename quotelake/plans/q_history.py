@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.scalars import from_micros, micros
 from ..operators import history as h
 from .q_book import exact
+from .registry import family
 from .standins import view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 def versions(spark, d):

@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import scalars as s
 from ..operators import keyed as k
 from .q_book import exact
+from .registry import family
 from .standins import table, view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 @query("k1_trades_dedup", with_views("md_trades", "SELECT trade_id, market, price::DECIMAL(38, 6)::VARCHAR AS price, 0 AS arrival FROM md_trades"))

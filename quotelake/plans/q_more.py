@@ -10,19 +10,10 @@ from ..operators import book, sampling
 from ..operators import normalise as n
 from .q_archive import written
 from .q_book import BOOK, METRICS, bk, book_events
+from .registry import family
 from .standins import table
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 @query(

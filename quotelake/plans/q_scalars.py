@@ -6,19 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from .q_book import real
+from .registry import family
 from .standins import table, view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 TEXT = "CASE event_id % 6 WHEN 0 THEN CAST(CAST(value AS DECIMAL(18, 2)) AS {t}) WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN concat(' ', CAST(event_id AS {t}), ' ') WHEN 4 THEN '1.5' END"

@@ -8,23 +8,14 @@ from ..operators import normalise as n
 from ..streaming import jobs
 from .q_archive import CHANGED, folder
 from .q_book import BOOK, CLOSING, bk, exact, metrics, snapshot_levels
+from .registry import family
 from .standins import view, with_views
 
-Q, SQL = {}, {}
+Q, SQL, query = family()
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
-
-
 def events(spark, d, glob="events.parquet", files_per_batch=None):
     rows = jobs.landed(spark, d, glob, EVENTS, files_per_batch)
     k = F.get_json_object("props", "$.k").cast("int")

@@ -6,19 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import tiering as t
 from .q_book import exact, real
+from .registry import family
 from .standins import view, with_views
 
-Q, SQL = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        Q[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
+Q, SQL, query = family()
 
 
 AT = "2024-01-15 12:00:00"
