@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import new_folder
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none (tests, local mode) a temporary folder of
-    this machine is made and set, once per session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+_WRITTEN: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_root(spark)}/quotelake/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(new_folder(spark, name))
+    return _WRITTEN[-1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``scratch`` gave."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _WRITTEN.remove(path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -42,5 +38,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def last_kept(spark: SparkSession) -> Iterator[None]:
+    """Of the folders that are written inside, only the last stays: for code that ends by cutting its result."""
+    before = len(_WRITTEN)
+    yield
+    for path in _WRITTEN[before:-1]:
+        remove(spark, path)
+
+
+def digest(*columns: Column) -> Column:
+    """128 bits of the columns, as a struct of two numbers."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("b"), *columns).alias("b"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

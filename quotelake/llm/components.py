@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, last_kept
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,13 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
     gives an empty result.
     """
     directed = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v")).distinct()
-    edges, before = cut(directed, "edges"), None
-    while True:
-        edges = cut(_stars(_stars(edges, large=True), large=False), "stars")
-        # Done when nothing moves: the edges are stars, and a round over stars gives them again.
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or state[0] == 0:
-            break
-        before = state
+    with last_kept(edges.sparkSession):
+        edges, before = cut(directed, "edges"), None
+        while True:
+            edges = cut(_stars(_stars(edges, large=True), large=False), "stars")
+            # Done when nothing moves: the edges are stars, and a round over stars gives them again.
+            state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if state == before or state[0] == 0:
+                break
+            before = state
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

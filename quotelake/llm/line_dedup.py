@@ -10,7 +10,8 @@ Defined results: lines are divided at line feeds; blank lines always stay; a
 null site is no site; a null text stays null, an empty one empty; rows alike in
 id and text share their result and are all kept; an empty table gives an empty
 result; other columns pass through, but input columns named ``n_lines`` and
-``n_removed`` are replaced. Lines are told apart by 64-bit digests.
+``n_removed`` are replaced. Lines are told apart by
+128-bit digests.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from ..operators.names import fresh
+from .common import cut, digest, table
 
 MIN_SITES = 10
 LOG_BUCKETS = 10  # a relative error of about 1.04 / sqrt(1024) = 3.3 %
@@ -45,17 +47,18 @@ def drop_boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Lines are shuffled as digests; texts once, to meet what is to be taken out of them.
     """
     columns = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    row = digest(F.col(id_col), F.col(text_col))
     lines = df.select(row.alias("row"), F.col(site_col).cast("string").alias("site"), F.explode(lines_of(F.col(text_col))).alias("text"))
-    lines = cut(lines.where(F.trim("text") != "").select("row", "site", F.xxhash64("text").alias("line")), "lines")
+    lines = cut(lines.where(F.trim("text") != "").select("row", "site", digest(F.col("text")).alias("line")), "lines")
     found = lines.select("row", "line").join(boilerplate(lines.select("line", "site"), min_sites), "line")
-    gone = found.groupBy("row").agg(F.collect_set("line").alias("__gone")).withColumnRenamed("row", "__gone_row")
-    joined = df.select(*columns, row.alias("__own_row")).join(gone, F.col("__own_row") == F.col("__gone_row"), "left")
+    own, other, out = fresh(df, "row", "other_row", "gone")
+    gone = found.groupBy(F.col("row").alias(other)).agg(F.collect_set("line").alias(out))
+    joined = df.select(*columns, row.alias(own)).join(gone, F.col(own) == F.col(other), "left")
     whole = lines_of(F.col(text_col))
-    kept = F.filter(whole, lambda x: (F.trim(x) == "") | ~F.array_contains("__gone", F.xxhash64(x)))
-    clean = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(whole, lambda x: (F.trim(x) == "") | ~F.array_contains(out, digest(x)))
+    clean = F.when(F.col(out).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.coalesce(F.size(whole), F.lit(0)).cast("long")
-    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size(whole) - F.size(kept)).cast("long")
+    removed = F.when(F.col(out).isNull(), 0).otherwise(F.size(whole) - F.size(kept)).cast("long")
     return joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in columns], n_lines.alias("n_lines"), removed.alias("n_removed"))
 
 

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.names import fresh
 from .common import cut, table
 from .components import components
 from .shingles import shingles
@@ -177,12 +178,13 @@ def candidate_edges(texts: DataFrame, k: int, percent: int, bits: int, keys: np.
         node_r, least_r = node[~often], least[~often].astype(np.uint16)
         at_o, low_o = _deal(key[often][first], bits)
         node_o = node[often][first]
-        out = {c: [] for c in columns}
-        for b in range(1 << bits):
+        out = {c: [] for c in ["bucket", *columns]}
+        for b in np.flatnonzero((np.diff(at) > 0) | (np.diff(at_o) > 0) | (np.diff(cuts) > 0)).tolist():
             s, t = slice(at[b], at[b + 1]), slice(at_o[b], at_o[b + 1])
+            out["bucket"].append(b)
             for c, x in zip(columns, (low[s], node_r[s], least_r[s], low_o[t], node_o[t], np.ascontiguousarray(edges[:, cuts[b] : cuts[b + 1]])), strict=True):
                 out[c].append(squeeze(x) if x.dtype == np.uint32 else x.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(range(1 << bits), pa.int32()), *[pa.array(out[c], pa.binary()) for c in columns]], names=["bucket", *columns])
+        return pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[c], pa.binary()) for c in columns]], names=["bucket", *columns])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = order.value
@@ -388,13 +390,14 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     Rows without shingles all stay. Narrow rows choose; the texts are shuffled once.
     """
     classes = ngram_classes(df, id_col, text_col, k, percent)
+    node, chosen_node, chosen_id = fresh(df, "node", "chosen_node", "chosen_id")
     named = classes.select(F.col(id_col).alias("id"), "node", "root")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
-    chosen = named.where(F.col("node").isNotNull()).groupBy("root").agg(first.alias("first")).select(F.col("first.id").alias("__chosen_id"), F.col("first.node").alias("__chosen"))
-    row = df.withColumn("__node", F.xxhash64(F.col(text_col).cast("string")))
-    kept = row.join(chosen, (F.col("__node") == F.col("__chosen")) & F.col(id_col).eqNullSafe(F.col("__chosen_id")), "left_semi").dropDuplicates(["__node"])
+    chosen = named.where(F.col("node").isNotNull()).groupBy("root").agg(first.alias("first")).select(F.col("first.id").alias(chosen_id), F.col("first.node").alias(chosen_node))
+    row = df.withColumn(node, F.xxhash64(F.col(text_col).cast("string")))
+    kept = row.join(chosen, (F.col(node) == F.col(chosen_node)) & F.col(id_col).eqNullSafe(F.col(chosen_id)), "left_semi").dropDuplicates([node])
     empty = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
-    return kept.unionByName(row.where(empty)).drop("__node")
+    return kept.unionByName(row.where(empty)).select(*df.columns)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from ..operators.names import fresh
+from .common import cut, digest, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -109,12 +110,15 @@ def apply_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     """``df`` with each row as often as the mix takes it: not at all, once, or more often."""
     mixed = mix_sources(df, id_col, text_col, source_col, **params)
     n = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    # Rows alike in id and text are numbered, so that each meets one result.
-    mixed = mixed.select(F.xxhash64(F.col(id_col), "text_hash", source_col).alias("__row"), n.cast("int").alias("__n"))
-    mixed = mixed.withColumn("__k", F.row_number().over(Window.partitionBy("__row").orderBy("__n"))).where("__n > 0")
-    rows = df.withColumn("__row", F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col).cast("string")), source_col))
-    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy("__row").orderBy("__row")))
-    rows = rows.join(mixed, ["__row", "__k"]).withColumn("__n", F.explode(F.sequence(F.lit(1), "__n")))
+    row, place, times = fresh(df, "row", "place", "times")
+    hashed = lambda text_hash: digest(F.col(id_col), text_hash, F.col(source_col).cast("string"))
+    # Rows alike in id, text and source are numbered, so that each meets one result.
+    number = lambda by: F.row_number().over(Window.partitionBy(row).orderBy(by))
+    mixed = mixed.withColumnRenamed("source", source_col) if source_col != "source" else mixed
+    mixed = mixed.select(hashed(F.col("text_hash")).alias(row), n.cast("int").alias(times))
+    mixed = mixed.withColumn(place, number(times)).where(F.col(times) > 0)
+    rows = df.withColumn(row, hashed(F.xxhash64(F.col(text_col).cast("string")))).withColumn(place, number(row))
+    rows = rows.join(mixed, [row, place]).withColumn(times, F.explode(F.sequence(F.lit(1), times)))
     return rows.select(*df.columns)
 
 
