@@ -125,7 +125,7 @@ class SuppressUnchanged(StatefulProcessor):
 
 
 BOOK_CHANGES = "token_key long, epoch long, us long, seq long, change string, side int, price decimal(18,6), size decimal(38,6)"
-SNAPSHOT, CHANGE, RESOLVE = 0, 1, 2
+SNAPSHOT, CHANGE, RESOLVE, DISCONNECT = 0, 1, 2, 3
 
 
 class CurrentBook(StatefulProcessor):
@@ -134,20 +134,23 @@ class CurrentBook(StatefulProcessor):
     Rows have ``us, kind, seq``; a snapshot (kind 0) has ``levels``, an array of
     (side, price, size), of which the last usable one of a place counts; a change
     (kind 1) has ``side, price, action, x``; a resolving frame (kind 2) closes the
-    book as it stands. Rows at or before the last applied one are ignored.
-
-    Given of a micro-batch (``BOOK_CHANGES``): a ``head`` row, ``level`` rows of the
-    places that changed (size 0: gone) in the epoch it ends in, and for each
-    resolving frame the ``closing`` rows of all levels, with a ``closed`` row.
+    book as it stands; after a disconnect (kind 3) the book isn't valid and takes
+    no change until the next snapshot. Rows at or before the last applied one are
+    ignored.
+
+    Given of a micro-batch (``BOOK_CHANGES``): a ``head`` row (``invalid`` after a
+    disconnect), ``level`` rows of the places that changed (size 0: gone) in the
+    epoch it ends in, and for each resolving frame of a valid book the ``closing``
+    rows of all levels, with a ``closed`` row.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.levels = handle.getMapState("levels", "side int, price decimal(18,6)", "size decimal(38,6)")
-        self.head = handle.getValueState("head", "epoch long, us long, kind int, seq long")
+        self.head = handle.getValueState("head", "epoch long, valid boolean, us long, kind int, seq long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = in_order(rows, ["us", "kind", "seq"])
-        first, *last = self.head.get() if self.head.exists() else (0, -1, 0, 0)
+        first, valid, *last = self.head.get() if self.head.exists() else (0, False, -1, 0, 0)
         epoch, last = first, tuple(last)
         before = {tuple(k): v[0] for k, v in self.levels.iterator()} if epoch else {}
         book, out = dict(before), []
@@ -157,14 +160,16 @@ class CurrentBook(StatefulProcessor):
             last = (us, kind, seq)
             side, action = (None if pd.isna(v) else int(v) for v in (side, action))  # pandas holds integers with gaps as floats
             if kind == SNAPSHOT:
-                epoch, book = epoch + 1, {(v["side"], v["price"]): v["size"] for v in levels if v["size"] and v["size"] > 0 and v["price"] is not None and v["side"] in (BUY, SELL)}
+                epoch, valid, book = epoch + 1, True, {(v["side"], v["price"]): v["size"] for v in levels if v["size"] and v["size"] > 0 and v["price"] is not None and v["side"] in (BUY, SELL)}
+            elif kind == DISCONNECT:
+                valid = False
             elif kind == RESOLVE:
-                if epoch:
+                if valid:
                     out += [(*key, epoch, us, seq, "closing", s, p, n) for (s, p), n in book.items()] + [(*key, epoch, us, seq, "closed", 0, None, None)]
-            elif epoch and side in (BUY, SELL) and price is not None and (action == DELETE or x is not None):
+            elif valid and side in (BUY, SELL) and price is not None and (action == DELETE or x is not None):
                 size = book.get((side, price), Decimal(0)) + x if action == DELTA else Decimal(0) if action == DELETE else x
                 book.pop((side, price), None) if size <= 0 else book.__setitem__((side, price), size)
-        self.head.update((epoch, *last))
+        self.head.update((epoch, valid, *last))
         gone = before.keys() - book.keys()
         for place in gone:
             self.levels.removeKey(place)
@@ -176,7 +181,7 @@ class CurrentBook(StatefulProcessor):
         out += [(*now, "level", s, p, book[s, p]) for s, p in changed]
         if epoch == first:
             out += [(*now, "level", s, p, Decimal(0)) for s, p in gone]
-        out.append((*now, "head", 0, None, None))
+        out.append((*now, "head" if valid else "invalid", 0, None, None))
         yield pd.DataFrame(out, columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
 
     def close(self) -> None:
@@ -184,11 +189,11 @@ class CurrentBook(StatefulProcessor):
 
 
 def current_levels(changes: DataFrame) -> DataFrame:
-    """The books as they stand after a sink's ``CurrentBook`` rows: ``token_key, epoch, side, price, size``."""
-    rows = changes.where(F.col("change").isin("head", "level"))
-    newest = rows.groupBy("token_key").agg(F.max("epoch").alias("epoch"))
-    last = rows.where("change = 'level'").groupBy("token_key", "epoch", "side", "price").agg(F.max_by("size", "batch").alias("size"))
-    return last.join(newest, ["token_key", "epoch"]).where("size > 0")
+    """The valid books as they stand after a sink's ``CurrentBook`` rows: ``token_key, epoch, side, price, size``."""
+    heads = changes.where(F.col("change").isin("head", "invalid")).groupBy("token_key").agg(F.max_by(F.struct("epoch", "change"), "batch").alias("head"))
+    valid = heads.where("head.change = 'head'").select("token_key", "head.epoch")
+    last = changes.where("change = 'level'").groupBy("token_key", "epoch", "side", "price").agg(F.max_by("size", "batch").alias("size"))
+    return last.join(valid, ["token_key", "epoch"]).where("size > 0")
 
 
 def closing_levels(changes: DataFrame) -> DataFrame:

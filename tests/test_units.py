@@ -296,6 +296,16 @@ def test_current_books_over_a_restart(spark, tmp_path):
     assert sorted(second) == [(1, "0.400000", "10.000000"), (2, "0.600000", "0.000000")]  # only what changed
 
 
+def test_a_disconnect_makes_a_book_invalid_until_a_snapshot(spark, tmp_path):
+    snap = lambda token, us, seq, price: (token, us, jobs.SNAPSHOT, seq, [level(1, price, "1")], None, None, None, None)
+    bare = lambda token, us, kind, seq: (token, us, kind, seq, None, None, None, None, None)
+    move = lambda token, us, seq: (token, us, jobs.CHANGE, seq, None, 1, Decimal("0.2"), 1, Decimal(5))
+    parts = [[snap(1, 1, 1, "0.1"), snap(2, 1, 2, "0.1"), bare(1, 2, jobs.DISCONNECT, 3), bare(2, 2, jobs.DISCONNECT, 4)], [move(1, 3, 5), bare(1, 4, jobs.RESOLVE, 6), snap(2, 3, 7, "0.3"), move(2, 4, 8)]]
+    out = stepped(spark, tmp_path, EVENTS, parts, lambda rows: jobs.stateful(rows, ["token_key"], jobs.CurrentBook(), jobs.BOOK_CHANGES))
+    assert {(r.token_key, float(r.price), int(r["size"])) for r in jobs.current_levels(out).collect()} == {(2, 0.3, 1), (2, 0.2, 5)}
+    assert jobs.closing_levels(out).count() == 0
+
+
 def test_late_rows_are_not_sampled_again(spark, tmp_path):
     hour = 3_600_000_000
     schema = "item string, us long, seq long, price decimal(18,6), note string"
