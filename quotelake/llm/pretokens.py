@@ -83,9 +83,9 @@ class TextEncoder:
     kept in two stores of bounded size.
     """
 
-    ROOM = 8_000_000
+    ROOM = 2_000_000
 
-    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 1_000_000):
+    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 400_000):
         self.split, self.odd = regex.compile(pattern), unassigned()
         self.pieces, self.whole = pieces, whole
         self.seen, self.chunks = Store(limit), Store(limit)
