@@ -4,7 +4,8 @@ All rolling word k-grams of all texts are joined by hash (and then by their
 words) with the k-gram positions of license templates. A match votes for the
 diagonal ``word position - template position``; votes are added up by diagonal,
 neighbouring diagonals are merged (a few words may be put in or left out), and a
-span is verified if it covers enough of its template and enough of itself.
+span is verified if it covers enough of its template and enough of itself. Of
+spans that overlap, those of the best templates stay.
 Beside that, the places of fixed phrases are counted.
 
 Only DataFrame functions are used; the templates are a table of fixed size and
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 4
@@ -51,42 +52,117 @@ TEMPLATES = [
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
+
+# Whole public notices, in the same form.
+NOTICES = [
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    ),
+    (
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details you should have received a copy of the gnu general public license along with this program if not see https www gnu org licenses",
+    ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public license for more details you should have received a copy of the gnu lesser general public license along with this library",
+    ),
+    (
+        "agpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu affero general public license for more details you should have received a copy of the gnu affero general public license along with this program if not see https www gnu org licenses",
+    ),
+    (
+        "mpl",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+]
+TEMPLATES = TEMPLATES + NOTICES
 GAP = 2  # diagonals this far apart are merged
 COVER = 0.5  # least share of the template's k-grams, and of the span's, that match
+RIVAL = 0.95  # of spans that overlap, those stay whose coverage is at least this part of the best one's
 
 
 def words_of(text: Column) -> Column:
-    """Words of ``text``; besides A-Z, lower() changes only characters that no phrase or template has."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words of ``text`` after A-Z are lower-cased.
+
+    lower() makes ASCII letters of two other characters, the Kelvin sign and the
+    dotted capital I. Characters beyond ASCII stand in for them, as no phrase or
+    template has any.
+    """
+    plain = F.coalesce(text.cast("string"), F.lit(""))
+    for letter in ("\u212a", "\u0130"):
+        plain = F.replace(plain, F.lit(letter), F.lit("\u00df"))
+    return F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0))
 
 
 def _grams(df: DataFrame) -> DataFrame:
-    """Explodes ``words`` to its k-grams: ``pos``, ``g0`` .. and the hash ``h``. The outer form keeps Spark from splitting texts twice."""
-    rows = df.select("*", F.posexplode_outer("words").alias("pos", "g0")).where(F.col("pos") <= F.size("words") - K)
+    """Explodes ``words`` to its k-grams, ``pos``, ``g0`` .. and the hash ``h``, after a row that stands for the text itself (``pos`` is -1, the rest null).
+
+    The outer form keeps Spark from splitting texts twice.
+    """
+    rows = df.select("*", F.posexplode_outer(F.concat(F.array(F.lit(None).cast("string")), "words")).alias("pos", "g0")).withColumn("pos", F.col("pos") - 1)
+    rows = rows.where((F.col("pos") == -1) | (F.col("pos") <= F.size("words") - K))
     parts = ["g0"] + [f"g{i}" for i in range(1, K)]
     rows = rows.withColumns({f"g{i}": F.get("words", F.col("pos") + i) for i in range(1, K)})
-    return rows.withColumn("h", F.xxhash64(*parts)).drop("words")
+    return rows.withColumn("h", F.when(F.col("g0").isNotNull(), F.xxhash64(*parts))).drop("words")
 
 
 def template_grams(spark: SparkSession) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(i).alias("tid"), F.lit(label).alias("label"), F.split(F.lit(text), " ").alias("words")) for i, (label, text) in enumerate(TEMPLATES)])
     listed = spark.range(1, numPartitions=1).select(F.inline(rows)).withColumn("grams", F.size("words") - K + 1)
-    return _grams(listed).withColumnRenamed("pos", "tpos").withColumnsRenamed({f"g{i}": f"t{i}" for i in range(K)} | {"h": "th"})
+    return _grams(listed).where("pos >= 0").withColumnRenamed("pos", "tpos").withColumnsRenamed({f"g{i}": f"t{i}" for i in range(K)} | {"h": "th"})
 
 
-def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified spans: ``(id, text_hash, tid, label, start, stop, votes, coverage)``, word positions from 0."""
-    spark = df.sparkSession
+def gram_hits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each text with ``n_words`` and the phrase columns ``b`` (``pos`` is -1), and a row for each place where a template's k-gram stands.
+
+    One pass over the texts, written to the shared folder.
+    """
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
+    phrases = F.named_struct(*[x for n, c in phrase_columns(F.col("words")).items() for x in (F.lit(n), c)])
+    rows = _grams(rows.select("id", "text_hash", F.size("words").cast("long").alias("n_words"), phrases.alias("b"), "words"))
     same = [F.col("h") == F.col("th")] + [F.col(f"g{i}") == F.col(f"t{i}") for i in range(K)]
-    hits = _grams(rows).join(F.broadcast(template_grams(spark)), same).select("id", "text_hash", "tid", "label", "grams", "pos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
+    rows = rows.join(F.broadcast(template_grams(df.sparkSession)), same, "left").where(F.col("tid").isNotNull() | (F.col("pos") == -1))
+    return cut(rows.select("id", "text_hash", "n_words", F.when(F.col("pos") == -1, F.col("b")).alias("b"), "pos", "tid", "label", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal")), "license-hits")
+
+
+def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Verified spans: ``(id, text_hash, tid, label, start, stop, votes, coverage)``, word positions from 0."""
+    return verified_spans(gram_hits(df, id_col, text_col))
+
+
+def verified_spans(hits: DataFrame) -> DataFrame:
+    """The spans that ``gram_hits`` vote for."""
+    hits = hits.where("pos >= 0")
     votes = hits.groupBy("id", "text_hash", "tid", "label", "grams", "diagonal").agg(F.countDistinct("pos").alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high"))
     by = Window.partitionBy("id", "text_hash", "tid").orderBy("diagonal")
     apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > GAP).cast("int"), F.lit(1))
     merged = votes.withColumn("apart", apart).withColumn("band", F.sum("apart").over(by))
     spans = merged.groupBy("id", "text_hash", "tid", "label", "grams", "band").agg(F.sum("votes").alias("votes"), F.min("low").alias("start"), (F.max("high") + K).alias("stop"))
     spans = spans.where((F.col("votes") >= COVER * F.col("grams")) & (F.col("votes") >= COVER * (F.col("stop") - F.col("start") - K + 1)))
-    return spans.select("id", "text_hash", "tid", "label", "start", "stop", "votes", F.least(F.lit(1.0), F.col("votes") / F.col("grams")).alias("coverage"))
+    spans = spans.select("id", "text_hash", "tid", "label", "start", "stop", "votes", F.least(F.lit(1.0), F.col("votes") / F.col("grams")).alias("coverage"))
+    # Licenses of one family share most of their words: where spans overlap, the best ones stand.
+    order = Window.partitionBy("id", "text_hash").orderBy("start", "stop", "tid")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("begins", F.coalesce((F.col("start") >= before).cast("int"), F.lit(1))).withColumn("place", F.sum("begins").over(order))
+    best = F.max("coverage").over(Window.partitionBy("id", "text_hash", "place"))
+    return spans.withColumn("best", best).where(F.col("coverage") >= RIVAL * F.col("best")).drop("begins", "place", "best")
 
 
 def phrase_columns(words: Column) -> dict[str, Column]:
@@ -113,12 +189,11 @@ def phrase_columns(words: Column) -> dict[str, Column]:
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, text_hash, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row."""
-    spans = license_spans(df, id_col, text_col).groupBy("id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage"))
+    hits = gram_hits(df, id_col, text_col)
+    spans = verified_spans(hits).groupBy("id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage"))
     key = F.struct(F.col("id").isNull().alias("none"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "text_hash")
     spans = spans.select(key.alias("key"), "more", "coverage")
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
-    rows = rows.select("id", "text_hash", key.alias("key"), F.size("words").cast("long").alias("n_words"), F.named_struct(*[x for n, c in phrase_columns(F.col("words")).items() for x in (F.lit(n), c)]).alias("b"))
-    joined = rows.select("id", "text_hash", "key", "n_words", "b.*").join(spans, "key", "left")
+    joined = hits.where("pos = -1").select("id", "text_hash", key.alias("key"), "n_words", "b.*").join(spans, "key", "left")
     labels = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     base = F.array_sort(F.array_distinct("base"))
     score = F.greatest(F.coalesce("coverage", F.lit(0.0)), F.when(F.col("n_base") > 0, 0.5).otherwise(0.0))
@@ -146,7 +221,11 @@ v AS (SELECT doc_id, tid, label, grams, diagonal, count(DISTINCT pos) AS votes,
 a AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {GAP} THEN 0 ELSE 1 END AS apart FROM v WINDOW w AS (PARTITION BY doc_id, tid ORDER BY diagonal)),
 b AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, tid ORDER BY diagonal) AS band FROM a),
 s AS (SELECT doc_id, tid, label, grams, band, sum(votes) AS votes, min(low) AS start, max(high) + {K} AS stop FROM b GROUP BY ALL),
-o AS (SELECT doc_id, label, least(1.0::DOUBLE, votes::DOUBLE / grams) AS coverage FROM s WHERE votes >= {COVER} * grams AND votes >= {COVER} * (stop - start - {K} + 1)),
+o1 AS (SELECT doc_id, tid, label, start, stop, least(1.0::DOUBLE, votes::DOUBLE / grams) AS coverage FROM s WHERE votes >= {COVER} * grams AND votes >= {COVER} * (stop - start - {K} + 1)),
+o2 AS (SELECT *, CASE WHEN start < max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop, tid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins FROM o1),
+o3 AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY start, stop, tid ROWS UNBOUNDED PRECEDING) AS place FROM o2),
+o4 AS (SELECT *, max(coverage) OVER (PARTITION BY doc_id, place) AS best FROM o3),
+o AS (SELECT doc_id, label, coverage FROM o4 WHERE coverage >= {RIVAL} * best),
 m AS (SELECT g.doc_id, g.pos, f.label FROM g JOIN (VALUES {phrases}) f(phrase, label, n) ON array_to_string(g.words[g.pos + 1:g.pos + f.n], ' ') = f.phrase),
 mb AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM m GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM m UNION SELECT doc_id, label FROM o) GROUP BY doc_id),
