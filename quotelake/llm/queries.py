@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, image_copies, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
+from . import bpe_codec, collocations, image_copies, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_image_copies": image_copies.op10_image_copies,
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
+        "op11_collocations": collocations.op11_collocations,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_source_mix": source_mix.OP5_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
         "op9_license_scan": license_scan.OP9_SQL,
+        "op11_collocations": collocations.OP11_SQL,
     }
