@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, collocations, image_copies, license_scan, line_dedup, ngram_join, quality, source_mix, token_counts, token_files, vector_links
+from . import bpe_codec, collocations, image_copies, lexical_search, license_scan, line_dedup, ngram_join, packing, quality, source_mix, token_counts, token_files, vector_links
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": token_files.op7_token_files,
         "op4_token_counts": token_counts.op4_token_counts,
         "op11_collocations": collocations.op11_collocations,
+        "op12_packing": packing.op12_packing,
+        "op13_lexical_search": lexical_search.op13_lexical_search,
     }
 
 
@@ -31,4 +33,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_line_dedup": line_dedup.OP8_SQL,
         "op9_license_scan": license_scan.OP9_SQL,
         "op11_collocations": collocations.OP11_SQL,
+        "op13_lexical_search": lexical_search.OP13_SQL,
     }
