@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalars import micros
 from .names import fresh
@@ -19,9 +21,11 @@ def suppress_unchanged(rows: DataFrame, key: list[str], order: list[str], value:
     A change is always kept, and so is a row that follows the one before it by the
     interval or more: a window finds these. Between them, each kept row decides
     the next one; the rows of a key pass in order, batch by batch, and only the
-    last kept time is held.
+    last kept time is held. A row without time is never dropped.
     """
     us, start = fresh(rows, "us", "start")
+    timed = F.col(order[0]).isNotNull()
+    untimed, rows = rows.where(~timed), rows.where(timed)
     at = Window.partitionBy(*key).orderBy(*order)
     step = seconds * 1_000_000
     rows = rows.withColumn(us, micros(F.col(order[0])))
@@ -42,7 +46,102 @@ def suppress_unchanged(rows: DataFrame, key: list[str], order: list[str], value:
             yield batch.filter(pa.array(kept))
 
     # The window has dealt and sorted the rows already; the sort costs nothing.
-    return rows.sortWithinPartitions(*key, *order).mapInArrow(pick, rows.schema).drop(us, start)
+    return rows.sortWithinPartitions(*key, *order).mapInArrow(pick, rows.schema).drop(us, start).unionByName(untimed)
+
+
+@dataclass(frozen=True)
+class Rule:
+    """When books are observed, in microseconds: they are looked at on a grid; ``full`` ones are given again after ``full``,
+    ``sampled`` ones after ``sampled`` if they changed since they were last given, else after ``heartbeat``."""
+
+    grid: int
+    full: int
+    sampled: int
+    heartbeat: int
+
+    @classmethod
+    def seconds(cls, grid: int = 30, full: int = 300, sampled: int = 30, heartbeat: int = 900) -> Rule:
+        return cls(grid * 1_000_000, full * 1_000_000, sampled * 1_000_000, heartbeat * 1_000_000)
+
+
+class Observed:
+    """A book as it stands, ``shown``: (since when, state, tier or None if it isn't observed), and what was given ``last``: (when, state)."""
+
+    def __init__(self, shown: tuple | None, last: tuple | None):
+        self.shown, self.last = shown, last
+
+    def due(self, start: int, rule: Rule) -> int | None:
+        """The first tick from ``start`` on at which the book is given if it stays as it is."""
+        if not self.shown or self.shown[2] not in ("full", "sampled"):
+            return None
+        at = max(start, self.shown[0])
+        if self.last:
+            wait = rule.full if self.shown[2] == "full" else rule.heartbeat if self.last[1] == self.shown[1] else rule.sampled
+            at = max(at, self.last[0] + wait)
+        return -(-at // rule.grid) * rule.grid
+
+
+def observe(book: Observed, until: int, then: tuple | None, rule: Rule) -> list[tuple]:
+    """``(tick, state, kind)`` of the ticks before ``until``, from when the book is shown ``then``."""
+    out = []
+    start = book.last[0] + 1 if book.last else 0
+    while (tick := book.due(start, rule)) is not None and tick < until:
+        _, state, tier = book.shown
+        kind = "periodic_hot" if tier == "full" else "heartbeat" if book.last and book.last[1] == state else "change"
+        out.append((tick, state, kind))
+        book.last, start = (tick, state), tick + 1
+    book.shown = then
+    return out
+
+
+def book_states(changes: DataFrame, key: list[str]) -> DataFrame:
+    """The state of each book after each of its changes (see ``streaming.ordered.ObserveBooks``): ``key, us, seq, tier, observed`` and the five parts.
+
+    ``observed`` is false while the book isn't valid or is crossed.
+    """
+    order = Window.partitionBy(*key).orderBy("us", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    newest = lambda c: F.last(c, ignorenulls=True).over(order)
+    total = lambda c, kind: F.sum(F.coalesce(c, F.lit(0))).over(order).cast(kind)
+    bid, ask = newest("bid"), newest("ask")
+    observed = F.coalesce(newest("valid"), F.lit(False)) & F.coalesce(ask >= bid, F.lit(True))
+    return changes.select(*key, "us", "seq", newest("tier").alias("tier"), observed.alias("observed"), total("revises", "long").alias("revision"), newest("price").alias("price"), total("trades", "long").alias("trades"), total("volume", "decimal(38,6)").alias("volume"), total("updates", "long").alias("updates"))
+
+
+PARTS = ["revision", "price", "trades", "volume", "updates"]
+
+
+def observe_books(states: DataFrame, key: list[str], until: int, rule: Rule) -> DataFrame:
+    """``key, tick, kind`` and the five parts of every observation up to ``until`` (microseconds): the batch twin of the stream.
+
+    states: what ``book_states`` gives. A book's rows pass in order, batch by
+    batch; only how it stands and what was given last is held.
+    """
+    kinds = dict(states.dtypes)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), "tick long", "kind string", *(f"{p} {kinds[p]}" for p in PARTS)])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, book = None, Observed(None, None)
+        for batch in batches:
+            columns = {c: batch.column(c).to_pylist() for c in batch.schema.names}
+            out = []
+            rows = zip(zip(*[columns[k] for k in key], strict=True), columns["us"], columns["observed"], columns["tier"], zip(*[columns[p] for p in PARTS], strict=True), strict=True)
+            for of, us, observed, tier, state in rows:
+                if of != now:
+                    out += [(*now, t, kind, *s) for t, s, kind in observe(book, until + 1, None, rule)] if now else []
+                    now, book = of, Observed(None, None)
+                out += [(*of, t, kind, *s) for t, s, kind in observe(book, min(us, until + 1), (us, state, tier if observed else None), rule)]
+            yield frame(out)
+        if now:
+            yield frame([(*now, t, kind, *s) for t, s, kind in observe(book, until + 1, None, rule)])
+
+    arrow = to_arrow_schema(states.sparkSession.createDataFrame([], schema).schema)
+
+    def frame(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * len(arrow)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    rows = states.where(F.col("us").isNotNull()).repartition(*key).sortWithinPartitions(*key, "us", "seq")
+    return rows.mapInArrow(walk, schema)
 
 
 def observe_on_change(rows: DataFrame, key: list[str], tick: str, state: str, heartbeat: int) -> DataFrame:

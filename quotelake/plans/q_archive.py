@@ -327,17 +327,20 @@ def _(spark, d):
     return table(spark, d, "orders").where(F.col("o_orderdate") < floor).select("o_orderkey", F.col("o_orderdate").alias("opened"), floor.alias("floor"))
 
 
-@query("l8_sequence_gaps", "WITH s AS (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old FROM events) SELECT user_id, old + 1 AS expected, event_id AS actual, CASE WHEN event_id > old + 1 THEN event_id - old - 1 END AS missing FROM s WHERE old IS NOT NULL AND event_id <> old + 1")
+GAPS = "WITH s AS (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old FROM events) SELECT user_id, old + 1 AS expected, event_id AS actual, CASE WHEN event_id > old + 1 THEN event_id - old - 1 END AS missing FROM s WHERE old IS NOT NULL AND event_id <> old + 1"
+
+
+@query("l8_sequence_gaps", GAPS)
 def _(spark, d):
     from ..operators.sampling import sequence_gaps
 
     return sequence_gaps(table(spark, d, "events"), "user_id", ["ts", "event_id"], "event_id")
 
 
-@query(
-    "l9_connection_gaps",
-    "WITH m AS (SELECT user_id, ts, event_id, event_type FROM events WHERE event_type IN ('error', 'signup')) SELECT user_id, ts AS opened_at, min(CASE WHEN event_type = 'signup' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS resolved_at FROM m QUALIFY event_type = 'error'",
-)
+CONNECTION_GAPS = "WITH m AS (SELECT user_id, ts, event_id, event_type FROM events WHERE event_type IN ('error', 'signup')) SELECT user_id, ts AS opened_at, min(CASE WHEN event_type = 'signup' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS resolved_at FROM m QUALIFY event_type = 'error'"
+
+
+@query("l9_connection_gaps", CONNECTION_GAPS)
 def _(spark, d):
     from ..operators.sampling import connection_gaps
 

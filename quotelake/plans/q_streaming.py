@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import normalise as n
-from ..streaming import jobs
-from .q_archive import CHANGED, folder
+from ..operators import sampling
+from ..streaming import jobs, ordered
+from .q_archive import CHANGED, CONNECTION_GAPS, GAPS, folder
 from .q_book import BOOK, CLOSING, bk, exact, metrics, snapshot_levels
 from .registry import family
 from .standins import view, with_views
@@ -48,18 +51,31 @@ def _(spark, d):
     return jobs.run_to_end(n.retention_policy(n.frames(raw), "errors"), folder(spark, "l5")).select("event_id", "message_type")
 
 
-def fed(spark, d, name: str, job, parts: int = 3):
-    """The sink of ``job`` (of a stream of events) after the events landed in parts by time; the stream stops after each and goes on from its checkpoint."""
+def fed(spark, d, name: str, job, parts: int = 3, jitter: int = 0, delay: int | None = None, sinks: dict[str, jobs.Sink] | None = None, halves: bool = False):
+    """The sink of ``job`` (of a stream of events) after the events landed in parts by time; the stream stops after each and goes on from its checkpoint.
+
+    jitter: events land up to so many hours late, so that they come out of order;
+    delay: of the job's watermark in hours: a row without a user, the delay and a
+    millisecond after the last event, tells that all has come; sinks: several ones;
+    halves: two parts, cut in the middle of the time.
+    """
     rows = spark.read.parquet(f"{d}/events.parquet")
     landing, path = folder(spark, f"{name}-landing"), folder(spark, name)
-    cuts = rows.agg(F.percentile_approx("ts", [i / parts for i in range(1, parts)])).first()[0] or []
+    lands = F.col("ts") + F.make_dt_interval(hours=F.pmod(F.col("event_id") * 7919, F.lit(jitter + 1)).cast("int"))
+    cuts, newest = rows.agg(F.percentile_approx(lands, [i / parts for i in range(1, parts)]), F.date_trunc("millisecond", F.max("ts")).cast("timestamp_ntz")).first()
+    if halves:
+        low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+        cuts = [low + (high - low) // 2] if low else []
     part, out = F.lit(0), None
-    for cut in cuts:
-        part = part + (F.col("ts") >= F.lit(cut)).cast("int")
-    for i in range(len(cuts) + 1):
+    for cut in cuts or []:
+        part = part + (lands >= F.lit(cut)).cast("int")
+    for i in range(len(cuts or []) + 1):
         rows.where(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(landing)
-        out = jobs.run_to_end(job(events(spark, landing, "*.parquet")), path)
-    return out
+        if delay is not None and newest is not None and i == len(cuts or []):
+            end = newest + timedelta(hours=delay, milliseconds=1)
+            spark.createDataFrame([(end, "end")], "ts timestamp_ntz, event_type string").select(*[F.col(c) if c in ("ts", "event_type") else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]).write.mode("append").parquet(landing)
+        out = jobs.run_to_sinks(job(events(spark, landing, "*.parquet")), path, sinks or {"rows": lambda x: x})
+    return out if sinks else out["rows"]
 
 
 @query("l4_suppress_stream", CHANGED)
@@ -68,9 +84,9 @@ def _(spark, d):
 
     def job(rows):
         rows = rows.select(F.col("event_type").alias("provider"), (F.col("user_id") % 10).alias("instrument"), F.when(F.col("k") < 70, 1).otherwise(2 + F.col("k") % 2).cast("decimal(18,6)").alias("price"), "us", F.col("event_id").alias("seq"))
-        return jobs.stateful(rows, key, jobs.SuppressUnchanged(12 * 3600, key, "us", ["seq"], "price", ["seq"], "decimal(18,6)"), "provider string, instrument long, seq long")
+        return jobs.stateful(rows, key, jobs.SuppressUnchanged(12 * 3600, key, "us", ["seq"], "price", ["seq"], "decimal(18,6)"), "provider string, instrument long, seq long, late boolean")
 
-    return fed(spark, d, "l4", job).drop("batch")
+    return fed(spark, d, "l4", job).where("NOT late").drop("batch", "late")
 
 
 def book_changes(spark, d, name: str, resolving: bool = False):
@@ -142,3 +158,114 @@ def _(spark, d):
     kind = F.expr("CASE event_type WHEN 'view' THEN 'update' WHEN 'signup' THEN 'snapshot' WHEN 'click' THEN 'observation' WHEN 'error' THEN 'reference' ELSE 'trade' END")
     rows = events(spark, d).select("event_id", kind.alias("kind"), F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("market"), (F.col("k") > 90).alias("closing"), (F.col("k") > 95).alias("archive_only"))
     return jobs.run_to_end(jobs.route(rows, view(spark, d, "mk_prev_tiers"), F.lit("critical")), folder(spark, "l6")).select("event_id", "to_archive", "to_hot")
+
+
+@query("l8_gaps_stream", GAPS)
+def _(spark, d):
+    """Gaps of sequences whose rows land out of order: rows wait for the watermark before gaps are judged."""
+
+    def job(rows):
+        rows = rows.select("ts", "user_id", "us", F.col("event_id").alias("seq"))
+        return ordered.by_event_time(rows, ordered.SequenceGaps(["user_id"]), "expected long, actual long, missing long", delay="30 hours")
+
+    return fed(spark, d, "l8", job, jitter=24, delay=30).where("change = 'gap'").select("user_id", "expected", "actual", "missing")
+
+
+@query("l9_gaps_stream", CONNECTION_GAPS)
+def _(spark, d):
+    """Gaps that disconnects open and confirmations resolve, from rows that land out of order."""
+
+    def job(rows):
+        event = F.expr("CASE event_type WHEN 'error' THEN 'disconnect' WHEN 'signup' THEN 'confirm' END")
+        rows = rows.select("ts", "user_id", "us", F.col("event_id").alias("seq"), event.alias("event"))
+        return ordered.by_event_time(rows, ordered.ConnectionGaps(["user_id"]), "opened_us long, resolved_us long", delay="30 hours")
+
+    gaps = fed(spark, d, "l9", job, jitter=24, delay=30).where("change IN ('open', 'resolved')").groupBy("user_id", "opened_us").agg(F.max("resolved_us").alias("resolved_us"))
+    at = lambda c: F.timestamp_add("MICROSECOND", F.col(c), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return gaps.select("user_id", at("opened_us").alias("opened_at"), at("resolved_us").alias("resolved_at"))
+
+
+HOUR = 3600
+RULE = sampling.Rule.seconds(grid=HOUR, full=6 * HOUR, sampled=3 * HOUR, heartbeat=12 * HOUR)
+OBSERVED = """WITH RECURSIVE e AS (SELECT *, epoch_us(ts) AS us, (props->>'$.k')::INT AS k, value::DECIMAL(18, 2) AS v FROM events),
+c AS (SELECT user_id, us, event_id AS seq, CASE WHEN event_type IN ('view', 'signup') THEN 1 ELSE 0 END AS revises,
+    CASE WHEN event_type = 'error' THEN false WHEN event_type IN ('view', 'signup') THEN true END AS valid,
+    CASE WHEN event_type IN ('view', 'signup') THEN k END AS bid, CASE WHEN event_type IN ('view', 'signup') THEN k + CASE WHEN k % 10 = 0 THEN -1 ELSE 2 END END AS ask,
+    CASE WHEN event_type = 'purchase' THEN v END AS price, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS trades, CASE WHEN event_type = 'purchase' THEN v ELSE 0 END AS volume,
+    CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS updates, CASE WHEN k % 4 = 0 THEN CASE k % 3 WHEN 0 THEN 'full' WHEN 1 THEN 'sampled' ELSE 'none' END END AS tier FROM e
+  UNION ALL SELECT user_id, us + 21600000000, event_id, 0, NULL, NULL, NULL, NULL, CASE WHEN event_type = 'purchase' THEN -1 ELSE 0 END, CASE WHEN event_type = 'purchase' THEN -v ELSE 0 END, CASE WHEN event_type = 'click' THEN -1 ELSE 0 END, NULL
+  FROM e WHERE event_type IN ('purchase', 'click')),
+s AS (SELECT user_id, us, seq, last_value(valid IGNORE NULLS) OVER w AS valid, last_value(bid IGNORE NULLS) OVER w AS bid, last_value(ask IGNORE NULLS) OVER w AS ask, last_value(tier IGNORE NULLS) OVER w AS tier,
+    sum(revises) OVER w AS revision, last_value(price IGNORE NULLS) OVER w AS price, sum(trades) OVER w AS trades, sum(volume) OVER w AS volume, sum(updates) OVER w AS updates
+  FROM c WINDOW w AS (PARTITION BY user_id ORDER BY us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY user_id, us ORDER BY seq DESC) = 1),
+g AS (SELECT user_id, unnest(generate_series((low + 3599999999) // 3600000000, high // 3600000000)) * 3600000000 AS tick FROM (SELECT user_id, min(us) AS low FROM c GROUP BY user_id), (SELECT max(us) AS high FROM e)),
+p AS (SELECT g.user_id, g.tick, b.tier, (b.revision, b.price, b.trades, b.volume, b.updates) AS state, row_number() OVER (PARTITION BY g.user_id ORDER BY g.tick) AS n
+  FROM g ASOF JOIN b ON g.user_id = b.user_id AND g.tick >= b.us WHERE b.valid AND coalesce(b.ask >= b.bid, true) AND b.tier IN ('full', 'sampled')),
+r AS (SELECT user_id, n, tick, tier, state, true AS given, CASE tier WHEN 'full' THEN 'periodic_hot' ELSE 'change' END AS kind, tick AS prior, state AS old FROM p WHERE n = 1
+  UNION ALL SELECT user_id, n, tick, tier, state, due, kind, CASE WHEN due THEN tick ELSE prior END, CASE WHEN due THEN state ELSE old END FROM (
+    SELECT p.*, r.prior, r.old, p.tick - r.prior >= CASE WHEN p.tier = 'full' THEN 21600000000 WHEN p.state IS DISTINCT FROM r.old THEN 10800000000 ELSE 43200000000 END AS due,
+      CASE WHEN p.tier = 'full' THEN 'periodic_hot' WHEN p.state IS DISTINCT FROM r.old THEN 'change' ELSE 'heartbeat' END AS kind
+    FROM r JOIN p ON p.user_id = r.user_id AND p.n = r.n + 1))
+SELECT user_id, tick::BIGINT AS tick, kind, state[1]::BIGINT AS revision, state[2]::DECIMAL(18, 6)::VARCHAR AS price, state[3]::BIGINT AS trades, state[4]::DECIMAL(38, 6)::VARCHAR AS volume, state[5]::BIGINT AS updates FROM r WHERE given"""
+
+
+def book_changes_of(rows):
+    """Changes of a book a user: quotes, disconnects, tiers, and trades and updates that count for six hours."""
+    kind, k, v = F.col("event_type"), F.col("k"), F.col("value").cast("decimal(18,2)").cast("decimal(38,6)")
+    quote, trade, update = kind.isin("view", "signup"), (kind == "purchase").cast("long"), (kind == "click").cast("long")
+    none = lambda t: F.lit(None).cast(t)
+    cents = lambda c: c.cast("decimal(18,6)")
+    traded = F.when(trade == 1, v).otherwise(F.lit(0).cast("decimal(38,6)"))
+    tier = F.when(k % 4 == 0, F.when(k % 3 == 0, "full").when(k % 3 == 1, "sampled").otherwise("none"))
+    names = [n for n, _ in ordered.ObserveBooks.CHANGES]
+    comes = [F.col("us"), F.col("event_id"), quote.cast("long"), F.when(kind == "error", False).when(quote, True), cents(F.when(quote, k)), cents(F.when(quote, k + F.when(k % 10 == 0, -1).otherwise(2))), cents(F.when(trade == 1, v)), trade, traded, update, tier]
+    goes = [F.col("us") + 6 * HOUR * 1_000_000, F.col("event_id"), F.lit(0).cast("long"), none("boolean"), *[none("decimal(18,6)")] * 3, -trade, (-traded).cast("decimal(38,6)"), -update, none("string")]
+    pack = lambda values: F.struct(*[x.alias(n) for x, n in zip(values, names, strict=True)])
+    both = F.array(pack(comes), pack(goes))
+    rows = rows.withColumn("x", F.explode(F.when((trade == 1) | (update == 1), both).otherwise(F.slice(both, 1, 1))))
+    return rows.select(*[c for c in ("ts",) if c in rows.columns], "user_id", "x.*")
+
+
+def shown(observations):
+    return observations.select("user_id", "tick", "kind", "revision", *exact18("price"), "trades", *exact("volume"), "updates")
+
+
+def exact18(*names):
+    return [F.col(c).cast("decimal(18,6)").cast("string").alias(c) for c in names]
+
+
+@query("l3_observe_rule", OBSERVED)
+def _(spark, d):
+    """Observations of all books by the whole rule: full ones at intervals, sampled ones on change since the last one given, else heartbeats; crossed and invalid books wait."""
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
+    rows = ev.withColumns({"k": F.get_json_object("props", "$.k").cast("int"), "us": us}).drop("ts")
+    until = rows.agg(F.max("us")).first()[0] or 0
+    return shown(sampling.observe_books(sampling.book_states(book_changes_of(rows), ["user_id"]), ["user_id"], until, RULE))
+
+
+@query("l3_observe_stream", OBSERVED)
+def _(spark, d):
+    """The same from a stream whose rows land out of order; timers give what is due while nothing comes."""
+
+    def job(rows):
+        parts = "revision long, price decimal(18,6), trades long, volume decimal(38,6), updates long"
+        return ordered.by_event_time(book_changes_of(rows), ordered.ObserveBooks(["user_id"], RULE), parts, delay="30 hours")
+
+    return shown(fed(spark, d, "l3", job, jitter=24, delay=30).where("change <> 'late'").withColumnsRenamed({"us": "tick", "change": "kind"}))
+
+
+@query(
+    "l13_late_rows",
+    """WITH e AS (SELECT event_id, user_id, ts, ts + INTERVAL 1 HOUR * (event_id * 7919 % 25) AS lands FROM events), c AS (SELECT make_timestamp(epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) AS cut FROM e),
+m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 6 HOUR AS mark FROM e, c WHERE lands < cut) SELECT user_id, event_id AS seq, epoch_us(ts) AS us FROM e, c, m WHERE lands >= cut AND ts < mark""",
+)
+def _(spark, d):
+    """Rows that land after the watermark has passed them: in a table beside the gaps, with the micro-batch that found them."""
+
+    def job(rows):
+        return ordered.by_event_time(rows.select("ts", "user_id", "us", F.col("event_id").alias("seq")), ordered.SequenceGaps(["user_id"]), "expected long, actual long, missing long", delay="6 hours")
+
+    sinks = {"gaps": lambda rows: rows.where("change = 'gap'"), "late": lambda rows: rows.where("change = 'late'").select("user_id", "seq", "us")}
+    return fed(spark, d, "l13", job, jitter=24, sinks=sinks, halves=True)["late"].drop("batch")

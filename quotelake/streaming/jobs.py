@@ -7,10 +7,11 @@ changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,15 +29,29 @@ def landed(spark: SparkSession, folder: str, file_glob: str, schema: str, files_
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
 
 
-def run_to_end(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Runs the stream over all that has landed since its last stop; returns the sink's rows with their ``batch`` number.
+Sink = Callable[[DataFrame], DataFrame]
+
+
+def run_to_sinks(stream: DataFrame, path: str, sinks: dict[str, Sink], mode: str = "append") -> dict[str, DataFrame]:
+    """Runs the stream over all that has landed since its last stop, each micro-batch into several sinks; returns each sink's rows with their ``batch`` number.
 
-    The checkpoint below ``path`` keeps offsets and state, so a later call goes on where the last one stopped.
+    A sink takes what its function gives of the batch and writes it under the
+    batch's number, over what an earlier try of that batch may have left, so a batch
+    that runs twice gives each row once in each sink, also if the first try stopped
+    between two of them. The checkpoint below ``path`` keeps offsets and state, so a
+    later call goes on where the last one stopped.
     """
     spark = stream.sparkSession
 
     def save(rows: DataFrame, batch: int) -> None:
-        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{path}/rows/part={batch}")
+        if len(sinks) > 1:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, give in sinks.items():
+                give(rows).withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{path}/{name}/part={batch}")
+        finally:
+            if len(sinks) > 1:
+                rows.unpersist()
 
     old = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, STATE_STORE)
@@ -44,9 +59,17 @@ def run_to_end(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
         stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(PROVIDER, old) if old else spark.conf.unset(PROVIDER)
-    empty = spark.createDataFrame([], T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())]))
-    empty.write.mode("ignore").parquet(f"{path}/rows/part=-1")  # a sink that nothing has reached yet reads as empty
-    return spark.read.schema(empty.schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows").select(*empty.columns)
+    out, nothing = {}, spark.createDataFrame([], stream.schema)
+    for name, give in sinks.items():
+        empty = give(nothing).withColumn("batch", F.lit(0)).limit(0)
+        empty.write.mode("ignore").parquet(f"{path}/{name}/part=-1")  # a sink that nothing has reached yet reads as empty
+        out[name] = spark.read.schema(empty.schema).option("basePath", f"{path}/{name}").parquet(f"{path}/{name}").select(*empty.columns)
+    return out
+
+
+def run_to_end(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """``run_to_sinks`` with one sink of all rows."""
+    return run_to_sinks(stream, path, {"rows": lambda rows: rows}, mode)["rows"]
 
 
 def newest(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -86,28 +109,34 @@ def in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 
 class SuppressUnchanged(StatefulProcessor):
-    """Keeps a row unless it equals the last kept one and ``seconds`` haven't passed; a row older than the last one seen is ignored.
+    """Keeps a row unless it equals the last kept one and ``seconds`` haven't passed.
 
     time: microseconds; order: columns that make the order total after it; kept:
-    what is given of a kept row. The state has the last kept row's time and value
-    and the last seen order key.
+    what is given of a row, with ``late``: true of a row that isn't after the last
+    one seen, or without time, which is given but changes nothing. The state has the
+    last kept row's time and value and the last seen order key. Under a watermark it
+    ends once it can't matter: any row that comes ``seconds`` after the last kept one
+    is kept, and an older one is late.
     """
 
-    def __init__(self, seconds: int, key: list[str], time: str, order: list[str], value: str, kept: list[str], value_type: str = "string", order_type: str = "long"):
+    def __init__(self, seconds: int, key: list[str], time: str, order: list[str], value: str, kept: list[str], value_type: str = "string", order_type: str = "long", watched: bool = False):
+        self.watched = watched  # whether there is a watermark, and so timers
         self.step, self.key, self.time, self.order, self.value, self.kept = seconds * 1_000_000, key, time, order, value, kept
         self.schema = f"us long, value {value_type}, seen_us long, " + ", ".join(f"seen{i} {order_type}" for i in range(len(order)))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.schema)
+        self.handle, self.last = handle, handle.getValueState("last", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = in_order(rows, [self.time, *self.order])
+        mark = 1000 * timerValues.getCurrentWatermarkInMs()
         state = self.last.get() if self.last.exists() else None
         us, value, seen = (state[0], state[1], tuple(state[2:])) if state else (None, None, None)
-        kept = []
+        kept, late = [], []
         places = zip(*(frame[c].tolist() for c in [self.time, *self.order]), strict=True)
         for i, (place, x) in enumerate(zip(places, frame[self.value].tolist(), strict=True)):
-            if seen is not None and place <= seen:
+            if pd.isna(place[0]) or (seen is not None and place <= seen) or (seen is None and place[0] < mark):
+                late.append(i)
                 continue
             seen = place
             if us is None or x != value or place[0] - us >= self.step:
@@ -115,11 +144,20 @@ class SuppressUnchanged(StatefulProcessor):
                 kept.append(i)
         if seen is not None:
             self.last.update((us, value, *seen))
-        out = frame.iloc[kept][self.kept]
+            if timerValues.getCurrentWatermarkInMs() >= 0 and self.watched:
+                self.handle.registerTimer(max(us + self.step, seen[0]) // 1000 + 1)
+        out = frame.iloc[[*kept, *late]][self.kept].assign(late=[False] * len(kept) + [True] * len(late))
         for i, c in reversed(list(enumerate(self.key))):
             out.insert(0, c, key[i])
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.last.exists():
+            us, _, seen, *_ = self.last.get()
+            if max(us + self.step, seen) < 1000 * timerValues.getCurrentWatermarkInMs():
+                self.last.clear()
+        yield pd.DataFrame({**{c: [] for c in self.key}, **{c: [] for c in self.kept}, "late": []})
+
     def close(self) -> None:
         pass
 
@@ -135,41 +173,59 @@ class CurrentBook(StatefulProcessor):
     (side, price, size), of which the last usable one of a place counts; a change
     (kind 1) has ``side, price, action, x``; a resolving frame (kind 2) closes the
     book as it stands; after a disconnect (kind 3) the book isn't valid and takes
-    no change until the next snapshot. Rows at or before the last applied one are
-    ignored.
+    no change until the next snapshot. Rows at or before the last applied one, and
+    rows without time, change nothing; a snapshot without levels empties the book.
 
     Given of a micro-batch (``BOOK_CHANGES``): a ``head`` row (``invalid`` after a
     disconnect), ``level`` rows of the places that changed (size 0: gone) in the
-    epoch it ends in, and for each resolving frame of a valid book the ``closing``
-    rows of all levels, with a ``closed`` row.
+    epoch it ends in, for each resolving frame of a valid book the ``closing``
+    rows of all levels, with a ``closed`` row, and a ``late`` row for each row that
+    changes nothing because it came too late.
+
+    grace: under a watermark, a token's state ends so many seconds after its
+    resolving frame, unless a snapshot has begun it anew; rows of the token that are
+    older than the watermark are late from then on.
     """
 
+    def __init__(self, grace: int | None = None):
+        self.grace = grace
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.levels = handle.getMapState("levels", "side int, price decimal(18,6)", "size decimal(38,6)")
-        self.head = handle.getValueState("head", "epoch long, valid boolean, us long, kind int, seq long")
+        self.head = handle.getValueState("head", "epoch long, valid boolean, us long, kind int, seq long, ends long")
+        self.handle = handle
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = in_order(rows, ["us", "kind", "seq"])
-        first, valid, *last = self.head.get() if self.head.exists() else (0, False, -1, 0, 0)
+        first, valid, *last, ends = self.head.get() if self.head.exists() else (0, False, -1, 0, 0, None)
         epoch, last = first, tuple(last)
+        mark = 0 if self.grace is None or self.head.exists() else 1000 * timerValues.getCurrentWatermarkInMs()
         before = {tuple(k): v[0] for k, v in self.levels.iterator()} if epoch else {}
         book, out = dict(before), []
         for us, kind, seq, levels, side, price, action, x in zip(*(frame[c].tolist() for c in ("us", "kind", "seq", "levels", "side", "price", "action", "x")), strict=True):
-            if (us, kind, seq) <= last:
-                continue  # late: something newer was applied
+            if pd.isna(us) or (us, kind, seq) <= last or us < mark:
+                out.append((*key, epoch, None if pd.isna(us) else us, seq, "late", 0, None, None))
+                continue
             last = (us, kind, seq)
             side, action = (None if pd.isna(v) else int(v) for v in (side, action))  # pandas holds integers with gaps as floats
             if kind == SNAPSHOT:
-                epoch, valid, book = epoch + 1, True, {(v["side"], v["price"]): v["size"] for v in levels if v["size"] and v["size"] > 0 and v["price"] is not None and v["side"] in (BUY, SELL)}
+                ends = None
+                epoch, valid, book = epoch + 1, True, {(v["side"], v["price"]): v["size"] for v in ([] if levels is None else levels) if v["size"] and v["size"] > 0 and v["price"] is not None and v["side"] in (BUY, SELL)}
             elif kind == DISCONNECT:
                 valid = False
             elif kind == RESOLVE:
+                if self.grace is not None:
+                    ends = us + 1_000_000 * self.grace
+                    self.handle.registerTimer(ends // 1000 + 1)
                 if valid:
                     out += [(*key, epoch, us, seq, "closing", s, p, n) for (s, p), n in book.items()] + [(*key, epoch, us, seq, "closed", 0, None, None)]
             elif valid and side in (BUY, SELL) and price is not None and (action == DELETE or x is not None):
                 size = book.get((side, price), Decimal(0)) + x if action == DELTA else Decimal(0) if action == DELETE else x
                 book.pop((side, price), None) if size <= 0 else book.__setitem__((side, price), size)
-        self.head.update((epoch, valid, *last))
+        if last[0] < 0:  # nothing was applied
+            yield pd.DataFrame(out, columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
+            return
+        self.head.update((epoch, valid, *last, ends))
         gone = before.keys() - book.keys()
         for place in gone:
             self.levels.removeKey(place)
@@ -184,6 +240,14 @@ class CurrentBook(StatefulProcessor):
         out.append((*now, "head" if valid else "invalid", 0, None, None))
         yield pd.DataFrame(out, columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.head.exists():
+            ends = self.head.get()[5]
+            if ends is not None and ends < 1000 * timerValues.getCurrentWatermarkInMs():
+                self.levels.clear()
+                self.head.clear()
+        yield pd.DataFrame([], columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
+
     def close(self) -> None:
         pass
 
@@ -208,7 +272,8 @@ class TierStay(StatefulProcessor):
 
     Rows have ``us, seq, wanted``; tiers are numbers, the higher the better. Seeds
     have ``tier, since`` (microseconds) and apply when a stream first starts; after
-    a stop, its own state goes on. Given: ``seq, tier, since`` after each row.
+    a stop, its own state goes on. Given: ``seq, tier, since`` after each row. A row
+    that wants nothing (null) ends its market: it gives nothing and the state goes.
     """
 
     def __init__(self, seconds: int, key: str):
@@ -226,17 +291,27 @@ class TierStay(StatefulProcessor):
         tier, since = self.stay.get() if self.stay.exists() else (None, None)
         out = []
         for us, seq, wanted in zip(*(frame[c].tolist() for c in ("us", "seq", "wanted")), strict=True):
+            if pd.isna(wanted):
+                tier = since = None
+                continue
+            wanted = int(wanted)
             if tier is None or wanted > tier or (wanted < tier and us - since >= self.step):
                 tier, since = wanted, us
             out.append((*key, seq, tier, since))
-        self.stay.update((tier, since))
+        if tier is not None:
+            self.stay.update((tier, since))
+        elif self.stay.exists():
+            self.stay.clear()
         yield pd.DataFrame(out, columns=[self.key, "seq", "tier", "since"])
 
     def close(self) -> None:
         pass
 
 
-def stateful(stream: DataFrame, key: list[str], processor: StatefulProcessor, schema: str, seed: DataFrame | None = None) -> DataFrame:
-    """seed: rows for the processor's initial state, of the same key."""
+def stateful(stream: DataFrame, key: list[str], processor: StatefulProcessor, schema: str, seed: DataFrame | None = None, time: str | None = None, delay: str = "1 hour") -> DataFrame:
+    """seed: rows for the processor's initial state, of the same key; time: a column of event time, by which the processor's timers go."""
     initial = seed.groupBy(*key) if seed is not None else None
-    return stream.groupBy(*key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None", initialState=initial)
+    if time:
+        # Late rows must reach the processor, so the column that the watermark stands on doesn't go with them.
+        stream = stream.withWatermark(time, delay).drop(time)
+    return stream.groupBy(*key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime" if time else "None", initialState=initial)
