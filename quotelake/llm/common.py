@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WRITTEN: list[str] = []
 
 
@@ -34,7 +35,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # what was shuffled for this table isn't read again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
