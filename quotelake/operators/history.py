@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import fresh
+from .prefix import Running, running, with_parts
+
 FIRST, CURRENT = Window.unboundedPreceding, Window.currentRow
 
 
@@ -13,17 +16,18 @@ def digest(*fields: str) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(f).cast("string")), F.lit("-")) for f in fields]), 256)
 
 
-def scd2(rows: DataFrame, key: list[str], order: list[str], content: str, carry: list[str] | None = None, newest: list[str] | None = None) -> DataFrame:
+def scd2(rows: DataFrame, key: list[str], order: list[str], content: str, carry: list[str] | None = None, newest: list[str] | None = None, parts: int = 1) -> DataFrame:
     """Versions: runs of equal ``content`` in order. Going back to old content makes a new version.
 
     ``valid_from`` and ``valid_to`` (null: open) from the first of ``order``;
     carry: columns of a version's first row; newest: columns of which a version
-    keeps the greatest.
+    keeps the greatest; parts: of a busy key (see ``prefix``).
     """
-    at = Window.partitionBy(*key).orderBy(*order)
-    change = F.coalesce((~F.col(content).eqNullSafe(F.lag(content).over(at))).cast("int"), F.lit(1))
-    change = F.when(F.row_number().over(at) == 1, 1).otherwise(change)
-    rows = rows.withColumn("__change", change).withColumn("version_number", F.sum("__change").over(at.rowsBetween(FIRST, CURRENT)))
+    part, change, old = fresh(rows, "part", "change", "old")
+    rows = running(with_parts(rows, key, order[0], part, parts), key, order, part, {old: Running("lag", F.col(content))}, parts)
+    same = F.col(old).isNotNull() & F.col(content).eqNullSafe(F.col(old)["x"])
+    rows = rows.withColumn(change, (~same).cast("long"))
+    rows = running(rows, key, order, part, {"version_number": Running("sum", F.col(change))}, parts)
     first = F.struct(*order)
     out = rows.groupBy(*key, "version_number").agg(
         F.first(content).alias(content),
@@ -33,7 +37,14 @@ def scd2(rows: DataFrame, key: list[str], order: list[str], content: str, carry:
         *[F.min_by(c, first).alias(c) for c in carry or []],
         *[F.max(c).alias(c) for c in newest or []],
     )
-    return out.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(*key).orderBy("version_number")))
+    if parts <= 1:
+        return out.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(*key).orderBy("version_number")))
+    # The next version is met by its number.
+    following = out.select(*[F.col(k).alias(f"next_{k}") for k in key], (F.col("version_number") - 1).alias("next_version"), F.col("valid_from").alias("valid_to"))
+    met = F.col("version_number") == F.col("next_version")
+    for k in key:
+        met = met & F.col(k).eqNullSafe(F.col(f"next_{k}"))
+    return out.join(following, met, "left").drop("next_version", *[f"next_{k}" for k in key])
 
 
 def current_versions(versions: DataFrame) -> DataFrame:
@@ -44,12 +55,14 @@ def versions_as_of(versions: DataFrame, at: Column) -> DataFrame:
     return versions.where((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (at < F.col("valid_to"))))
 
 
-def mark_stale(rows: DataFrame, key: list[str], arrival: list[str], upstream: str, observed: str) -> DataFrame:
+def mark_stale(rows: DataFrame, key: list[str], arrival: list[str], upstream: str, observed: str, parts: int = 1) -> DataFrame:
     """Adds ``stale``: not newer than what came before, by the upstream time if both are known, else by the observed one."""
-    before = Window.partitionBy(*key).orderBy(*arrival).rowsBetween(FIRST, -1)
-    top, seen = F.max(upstream).over(before), F.max(observed).over(before)
-    known = F.col(upstream).isNotNull() & top.isNotNull()
-    return rows.withColumn("stale", F.coalesce(F.when(known, F.col(upstream) <= top).otherwise(F.col(observed) <= seen), F.lit(False)))
+    part, top, seen = fresh(rows, "part", "top", "seen")
+    before = {top: Running("max", F.col(upstream), inclusive=False), seen: Running("max", F.col(observed), inclusive=False)}
+    rows = running(with_parts(rows, key, arrival[0], part, parts), key, arrival, part, before, parts)
+    known = F.col(upstream).isNotNull() & F.col(top).isNotNull()
+    stale = F.coalesce(F.when(known, F.col(upstream) <= F.col(top)).otherwise(F.col(observed) <= F.col(seen)), F.lit(False))
+    return rows.withColumn("stale", stale).drop(part, top, seen)
 
 
 def merge_rows(rows: DataFrame, key: list[str], order: list[str], fields: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book
+from ..operators.prefix import spread
 from .registry import family
 from .standins import table, view, with_views
 
@@ -29,6 +30,11 @@ def snapshot_levels() -> F.Column:
     return F.transform(F.sequence(F.lit(0), 2 + F.col("k") % 4), level)
 
 
+def parts_of(spark: SparkSession, sf_dir: str) -> int:
+    """Into how many parts the busiest token is cut."""
+    return spread(table(spark, sf_dir, "events"), ["user_id"])
+
+
 def book_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "bk_events").withColumn("levels", F.when(F.col("kind") == 0, snapshot_levels()))
 
@@ -78,17 +84,17 @@ def bk(sql: str) -> str:
 
 @query("d2_book_epochs", bk(f"WITH {EPOCHS} SELECT token_key, seq, kind, epoch::BIGINT AS epoch FROM e"))
 def _(spark, d):
-    return book.with_epochs(book_events(spark, d)).select("token_key", "seq", "kind", "epoch")
+    return book.with_epochs(book_events(spark, d), parts_of(spark, d)).select("token_key", "seq", "kind", "epoch")
 
 
 @query("d3_d4_level_sizes", bk(f"WITH {MOVES} SELECT token_key, epoch::BIGINT AS epoch, seq, side, price::DECIMAL(38, 6)::VARCHAR AS price, size::DECIMAL(38, 6)::VARCHAR AS size FROM sz"))
 def _(spark, d):
-    return book.level_sizes(book.book_moves(book_events(spark, d))).select("token_key", "epoch", "seq", "side", *exact("price", "size"))
+    return book.level_sizes(book.book_moves(book_events(spark, d), parts_of(spark, d)), parts_of(spark, d)).select("token_key", "epoch", "seq", "side", *exact("price", "size"))
 
 
 @query("d5_replay_book", bk(f"WITH {BOOK} SELECT token_key, epoch::BIGINT AS epoch, side, price::DECIMAL(38, 6)::VARCHAR AS price, size::DECIMAL(38, 6)::VARCHAR AS size, last_ts FROM bk"))
 def _(spark, d):
-    return book.replay_book(book_events(spark, d)).select("token_key", "epoch", "side", *exact("price", "size"), "last_ts")
+    return book.replay_book(book_events(spark, d), parts=parts_of(spark, d)).select("token_key", "epoch", "side", *exact("price", "size"), "last_ts")
 
 
 @query("d6_replay_violations", bk(f"WITH {EPOCHS} SELECT token_key, ts, seq, 'delta_before_snapshot' AS rule FROM e WHERE kind = 1 AND epoch = 0"))
@@ -107,7 +113,7 @@ SELECT f.token_key, f.tick, side, price::DECIMAL(38, 6)::VARCHAR AS price, size:
 def _(spark, d):
     events = book_events(spark, d)
     ticks = F.array(*[F.lit(t).cast("timestamp_ntz") for t in ("2024-01-05", "2024-01-12", "2024-01-20")])
-    return book.book_at_ticks(events, events.select("token_key").distinct().withColumn("tick", F.explode(ticks))).select("token_key", "tick", "side", *exact("price", "size"))
+    return book.book_at_ticks(events, events.select("token_key").distinct().withColumn("tick", F.explode(ticks)), parts_of(spark, d)).select("token_key", "tick", "side", *exact("price", "size"))
 
 
 @query("d8_d14_book_metrics", bk(f"WITH {BOOK}, {METRICS.format(k='token_key')} {measured('token_key')}"))
@@ -167,7 +173,7 @@ th AS (SELECT token_key, tick, {SIDE} AS side, {PRICE} AS price, (v - 10 * j)::D
 SELECT token_key, tick, side, price::DECIMAL(38, 6)::VARCHAR AS price, o.size::DECIMAL(38, 6)::VARCHAR AS replayed, th.size::DECIMAL(38, 6)::VARCHAR AS reported FROM o FULL JOIN th USING (token_key, tick, side, price) WHERE o.size IS DISTINCT FROM th.size"""),
 )
 def _(spark, d):
-    return book.reconcile(book_events(spark, d)).select("token_key", "tick", "side", *exact("price", "replayed", "reported"))
+    return book.reconcile(book_events(spark, d), parts_of(spark, d)).select("token_key", "tick", "side", *exact("price", "replayed", "reported"))
 
 
 LEVELS = """bl AS (SELECT l_orderkey AS book, CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE 2 END AS side, CASE WHEN l_linenumber % 2 = 1 THEN 49 - round(100 * l_discount)::INT ELSE 51 + round(100 * l_discount)::INT END AS price_cents, l_quantity::DECIMAL(18, 2) AS size,
@@ -194,4 +200,4 @@ def book_levels(spark, d):
 def _(spark, d):
     events = view(spark, d, "bk_events").select("token_key", "ts", "seq")
     trades = view(spark, d, "md_trades").select(F.col("token").alias("token_key"), "executed_at", F.col("price").alias("last_price"), F.col("trade_id").alias("last_trade"))
-    return book.last_before(events, trades, ["token_key"], "ts", "executed_at", ["last_price", "last_trade"], ["last_trade"]).select("token_key", "seq", *exact("last_price"), "last_trade")
+    return book.last_before(events, trades, ["token_key"], "ts", "executed_at", ["last_price", "last_trade"], ["last_trade"], parts_of(spark, d)).select("token_key", "seq", *exact("last_price"), "last_trade")
