@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import Running, running, with_parts
+from .prefix import Running, join_null_safe, running, with_parts
 
 BUY, SELL = 1, 2
 DELETE, DELTA = 2, 4
@@ -81,7 +81,7 @@ def level_sizes(moves: DataFrame, parts: int = 1) -> DataFrame:
     ends = ends.withColumn("lifted", F.greatest(zero, F.max(lift).over(in_run)))
     ends = ends.withColumn("c", (F.col("total") + F.col("lifted")).cast(SIZE))
     carried = ends.select(*key, "part", F.coalesce(F.lag("c").over(over), zero).alias("c"))
-    rows = rows.join(carried, [*key, "part"])
+    rows = join_null_safe(rows, carried, [*key, "part"], "inner")
     size = F.when(F.col("segment") > 0, F.col("s") - F.col("low")).otherwise(F.col("s") + F.greatest(F.col("c"), -F.col("low")))
     return rows.withColumn("size", size.cast(SIZE)).drop("s", "segment", "low", "c")
 
@@ -93,7 +93,7 @@ def replay_book(events: DataFrame, as_of: Column | None = None, parts: int = 1)
     # Only what came since a token's last snapshot makes its book.
     rows = with_epochs(events, parts)
     if parts > 1:
-        rows = rows.join(rows.groupBy("token_key").agg(F.max("epoch").alias("epoch")), ["token_key", "epoch"], "left_semi")
+        rows = join_null_safe(rows, rows.groupBy("token_key").agg(F.max("epoch").alias("epoch")), ["token_key", "epoch"], "left_semi")
     else:
         rows = rows.withColumn("newest", F.max("epoch").over(Window.partitionBy("token_key"))).where("epoch = newest").drop("newest")
     order = F.struct("ts", "kind", "seq")
@@ -119,7 +119,7 @@ def book_at_ticks(events: DataFrame, ticks: DataFrame, parts: int = 1) -> DataFr
     moves = level_sizes(book_moves(rows), parts)
     asked = last_before(ticks.select("token_key", "tick").distinct(), rows, ["token_key"], "tick", "ts", ["epoch"], ["kind", "seq"], parts).where("epoch > 0")
     places = moves.groupBy("token_key", "epoch", "side", "price").agg(F.min("ts").alias("since"))
-    asked = asked.join(places, ["token_key", "epoch"]).where(F.col("since") <= F.col("tick")).drop("since")
+    asked = join_null_safe(asked, places, ["token_key", "epoch"], "inner").where(F.col("since") <= F.col("tick")).drop("since")
     found = last_before(asked, moves, ["token_key", "epoch", "side", "price"], "tick", "ts", ["size"], ["kind", "seq"], parts)
     return found.where("size > 0").select("token_key", "tick", "side", "price", "size")
 

@@ -23,6 +23,14 @@ BUSY = 5_000_000
 FIRST, CURRENT = Window.unboundedPreceding, Window.currentRow
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join by columns of the same names in which nulls are equal; the right side's don't appear."""
+    theirs = fresh(left, *[f"their_{c}" for c in on])
+    right = right.withColumnsRenamed(dict(zip(on, theirs, strict=True)))
+    met = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(on, theirs, strict=True)])
+    return left.join(right, met, how).drop(*theirs)
+
+
 def spread(rows: DataFrame, key: list[str], busy: int = BUSY) -> int:
     """Parts into which the busiest key must be cut so that a task has about ``busy`` rows; one narrow count."""
     most = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]

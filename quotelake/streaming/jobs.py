@@ -156,7 +156,7 @@ class SuppressUnchanged(StatefulProcessor):
             us, _, seen, *_ = self.last.get()
             if max(us + self.step, seen) < 1000 * timerValues.getCurrentWatermarkInMs():
                 self.last.clear()
-        yield pd.DataFrame({**{c: [] for c in self.key}, **{c: [] for c in self.kept}, "late": []})
+        yield from ()
 
     def close(self) -> None:
         pass
@@ -246,7 +246,7 @@ class CurrentBook(StatefulProcessor):
             if ends is not None and ends < 1000 * timerValues.getCurrentWatermarkInMs():
                 self.levels.clear()
                 self.head.clear()
-        yield pd.DataFrame([], columns=["token_key", "epoch", "us", "seq", "change", "side", "price", "size"])
+        yield from ()
 
     def close(self) -> None:
         pass

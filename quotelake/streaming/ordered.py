@@ -59,7 +59,7 @@ class Ordered(StatefulProcessor):
         """When there is something to give though no row comes, in microseconds."""
         return None
 
-    def _work(self, key: tuple, new: list[tuple], mark: int) -> pd.DataFrame:
+    def _work(self, key: tuple, new: list[tuple], mark: int) -> Iterator[pd.DataFrame]:
         late = [r for r in new if r[0] is None or r[0] < mark]
         held = list(self.held.get()) if self.held.exists() else []
         held = [tuple(r) for r in held] + [r for r in new if r[0] is not None and r[0] >= mark]
@@ -70,14 +70,15 @@ class Ordered(StatefulProcessor):
         out = [(r[0], r[1], "late", *[None] * len(self.given)) for r in late] + self.apply(key, ripe, mark)
         next_at = min((t for t in (min((r[0] for r in waiting), default=None), self.due()) if t is not None), default=None)
         if next_at is not None:
-            self.handle.registerTimer(max(next_at, mark) // 1000)
-        return pd.DataFrame([(*key, *r) for r in out], columns=[*self.key, "us", "seq", "change", *self.given])
+            self.handle.registerTimer(max(next_at, mark) // 1000 + 1)  # one that stands at the watermark fires, and goes when it has
+        if out:
+            yield pd.DataFrame([(*key, *r) for r in out], columns=[*self.key, "us", "seq", "change", *self.given])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        yield self._work(key, plain(rows, self.columns), 1000 * timerValues.getCurrentWatermarkInMs())
+        yield from self._work(key, plain(rows, self.columns), 1000 * timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._work(key, [], 1000 * timerValues.getCurrentWatermarkInMs())
+        yield from self._work(key, [], 1000 * timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass

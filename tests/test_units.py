@@ -312,8 +312,9 @@ def test_late_rows_are_not_sampled_again(spark, tmp_path):
     row = lambda h, seq, price: ("a", h * hour, seq, Decimal(price), f"n{seq}")
     parts = [[row(10, 1, "1.5"), row(100, 2, "1.5")], [row(50, 3, "2"), row(101, 4, "1.5"), row(102, 5, "1.6")], [row(103, 6, "1.6"), row(99, 7, "9")]]
     job = jobs.SuppressUnchanged(12 * 3600, ["item"], "us", ["seq"], "price", ["seq", "note"], "decimal(18,6)")
-    out = stepped(spark, tmp_path, schema, parts, lambda rows: jobs.stateful(rows, ["item"], job, "item string, seq long, note string"))
-    assert sorted((r.seq, r.note) for r in out.collect()) == [(1, "n1"), (2, "n2"), (5, "n5")]
+    out = stepped(spark, tmp_path, schema, parts, lambda rows: jobs.stateful(rows, ["item"], job, "item string, seq long, note string, late boolean"))
+    assert sorted((r.seq, r.note) for r in out.where("NOT late").collect()) == [(1, "n1"), (2, "n2"), (5, "n5")]
+    assert sorted((r.seq, r.batch) for r in out.where("late").collect()) == [(3, 1), (7, 2)]
 
 
 def test_stays_are_seeded_and_survive_a_stop(spark, tmp_path):
