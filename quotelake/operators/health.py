@@ -55,27 +55,23 @@ def bounded_samples(rejects: DataFrame, reason: str, key: str, n: int = 10) -> D
     return rejects.groupBy(reason).agg(F.count(F.lit(1)).alias("rejected")).join(some, reason)
 
 
-def nearest_rank(rows: DataFrame, key: str, value: str, share: float, slots: int = 4096, rounds: int = 2) -> DataFrame:
-    """The value at rank ``ceil(share * n)`` of each key; nulls don't count.
+def nearest_rank(rows: DataFrame, key: str, value: str, share: float, accuracy: int = 10_000) -> DataFrame:
+    """The value at rank ``ceil(share * n)`` of each key, exactly; nulls don't count.
 
-    Each round counts a key's values in equal slots of their range, and keeps
-    those of the slot that holds the rank; what is left is ranked by its distinct
-    values. So a key's values are never sorted in one task.
+    A mergeable sketch gives two values between which that rank lies, as it errs by
+    ``n / accuracy`` ranks at most. A second pass counts what lies below them and
+    each value between them, so only those few are ranked.
     """
     left = rows.where(F.col(value).isNotNull()).select(F.col(key).alias("key"), F.col(value).alias("value"))
-    rank = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("rank")).withColumn("rank", F.greatest("rank", F.lit(1)))
-    for _ in range(rounds):
-        bounds = left.groupBy("key").agg(F.min("value").cast("double").alias("low"), F.max("value").cast("double").alias("high"))
-        slot = F.least(F.floor(F.try_divide(F.col("value").cast("double") - F.col("low"), F.col("high") - F.col("low")) * slots), F.lit(slots - 1))
-        placed = left.join(bounds, "key").select("key", "value", F.coalesce(slot, F.lit(0)).alias("slot"))
-        counts = placed.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("n")).join(rank, "key")
-        counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("key").orderBy("slot")))
-        chosen = counts.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        left = placed.join(chosen.select("key", "slot"), ["key", "slot"], "left_semi").select("key", "value")
-        rank = chosen.select("key", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
-    counts = left.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("key").orderBy("value"))).join(rank, "key")
-    return upto.where(F.col("upto") >= F.col("rank")).groupBy(F.col("key").alias(key)).agg(F.min("value").alias("value"))
+    margin = 2 / accuracy
+    sides = F.percentile_approx("value", F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin))), F.lit(accuracy))
+    sketch = left.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) * F.lit(share)), F.lit(1)).alias("rank"), sides.alias("sides"))
+    sketch = sketch.withColumnRenamed("key", "of").withColumn("low", F.get("sides", F.lit(0))).withColumn("high", F.get("sides", F.lit(1)))
+    placed = left.join(sketch, F.col("key").eqNullSafe(F.col("of"))).where(F.col("value") <= F.col("high"))
+    counts = placed.groupBy("key", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.first("rank").alias("rank"))
+    # What lies below is the null value and comes first.
+    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("key").orderBy(F.col("value").asc_nulls_first())))
+    return upto.where(F.col("value").isNotNull() & (F.col("upto") >= F.col("rank"))).groupBy(F.col("key").alias(key)).agg(F.min("value").alias("value"))
 
 
 def projection(samples: DataFrame, key: str, time: str, size: str, days: int = 30) -> DataFrame:
@@ -135,17 +131,19 @@ def page_state(rows: DataFrame, page: str, ok: Column, cursor: str) -> DataFrame
 def unsaturated_windows(rows: DataFrame, key: str, micros: str, span: int, limit: int, smallest: int) -> DataFrame:
     """The largest halvings of a time span in which fewer than ``limit`` rows lie; at ``smallest`` a full one is marked.
 
-    Each level of halvings is a grouped count; a window is chosen if it isn't
-    full while the one it is half of was.
+    Rows are counted once, in the narrowest windows; each count is added to all the
+    windows around it, whose numbers are shifts of its own. A window is chosen if it
+    isn't full while its parent is, and the parent holds what it and its sibling do.
+    The span is taken as a power of two times the narrowest width.
     """
-    out, width, parent = None, span, None
-    while True:
-        counts = rows.groupBy(key, F.floor(F.col(micros) / width).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-        last = width // 2 < smallest
-        mine = counts if parent is None else counts.join(parent, (counts[key] == parent["pk"]) & (F.floor(counts["slot"] / 2) == parent["pslot"]), "left_semi")
-        chosen = mine.where((F.col("n") < limit) | F.lit(last)).select(key, (F.col("slot") * width).alias("start"), F.lit(width).cast("long").alias("width"), "n", (F.col("n") >= limit).alias("saturated"))
-        out = chosen if out is None else out.unionByName(chosen)
-        if last:
-            return out
-        parent = mine.where(F.col("n") >= limit).select(F.col(key).alias("pk"), F.col("slot").alias("pslot"))
-        width //= 2
+    levels = 1
+    while (span >> levels) >= smallest:
+        levels += 1
+    width = span >> (levels - 1)
+    finest = rows.groupBy(key, F.floor(F.col(micros) / width).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    around = finest.select(key, "slot", "n", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("up"))
+    counts = around.groupBy(key, "up", F.expr("shiftright(slot, up)").alias("slot")).agg(F.sum("n").alias("n"))
+    family = Window.partitionBy(key, "up", F.shiftright("slot", 1))
+    chosen = counts.withColumn("parent", F.sum("n").over(family)).where((F.col("up") == levels - 1) | (F.col("parent") >= limit)).where((F.col("n") < limit) | (F.col("up") == 0))
+    size = F.expr(f"shiftleft({width}L, up)")
+    return chosen.select(key, (F.col("slot") * size).alias("start"), size.alias("width"), "n", (F.col("n") >= limit).alias("saturated"))

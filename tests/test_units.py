@@ -214,7 +214,7 @@ def test_nearest_rank_equals_sorting(spark):
     values = {"a": [random.gauss(0, 1) ** 9 for _ in range(999)], "b": [1.0] * 50 + [2.0], "c": [5.0], "d": [float(i % 7) for i in range(100)]}
     rows = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("a", None)], "k string, v double")
     for share in (0.001, 0.5, 0.99, 1.0):
-        got = {r.k: r.value for r in health.nearest_rank(rows, "k", "v", share, slots=8).collect()}
+        got = {r.k: r.value for r in health.nearest_rank(rows, "k", "v", share, accuracy=8).collect()}
         assert got == {k: sorted(vs)[max(1, math.ceil(share * len(vs))) - 1] for k, vs in values.items()}
 
 
