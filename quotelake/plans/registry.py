@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["q_book", "q_scalars", "q_tiering", "q_history", "q_keyed", "q_normalise", "q_archive", "q_streaming", "q_more"]
+FAMILIES = ["q_book", "q_scalars", "q_tiering", "q_history", "q_keyed", "q_normalise", "q_archive", "q_streaming", "q_more", "q_sinks"]
 
 
 def family() -> tuple[dict, dict, Callable]:
