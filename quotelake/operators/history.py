@@ -96,3 +96,28 @@ def supersede(runs: DataFrame, job: str, started: str, finished: str, tie: str)
     """Adds ``status``: a run is cancelled if the next of its job starts before it finishes."""
     following = F.lead(started).over(Window.partitionBy(job).orderBy(started, tie))
     return runs.withColumn("status", F.when(following.isNotNull() & (F.col(finished).isNull() | (following < F.col(finished))), "cancelled").when(F.col(finished).isNull(), "running").otherwise("completed"))
+
+
+def merge_json(rows: DataFrame, key: list[str], order: list[str], document: str, allowed: list[str] | None = None) -> DataFrame:
+    """``key`` and one JSON object: of each of its fields the value of the last row that has it, nested values whole.
+
+    A field that is null counts as a value; text that is no object, and fields that
+    aren't ``allowed``, are passed over; a key of which nothing is left has ``{}``.
+    Fields come in alphabetical order. A hot key's rows meet in partial aggregates.
+    """
+    docs = rows.select(*key, F.struct(*order).alias("at"), F.try_parse_json(F.col(document)).alias("doc"))
+    docs = docs.withColumn("doc", F.when(F.schema_of_variant("doc").startswith("OBJECT"), F.col("doc")))
+    fields = docs.lateralJoin(docs.sparkSession.tvf.variant_explode_outer(F.col("doc").outer()))
+    keep = F.col("key").isNotNull() & (F.col("key").isin(allowed) if allowed is not None else F.lit(True))
+    fields = fields.select(*key, "at", F.when(keep, F.col("key")).alias("field"), F.to_json("value").alias("value"))
+    last = fields.groupBy(*key, "field").agg(F.max_by("value", "at").alias("value"))
+    each = F.when(F.col("field").isNotNull(), F.struct("field", F.coalesce("value", F.lit("null")).alias("value")))
+    listed = F.array_sort(F.collect_list(each))
+    text = F.transform(listed, lambda x: F.concat(F.lit('"'), F.regexp_replace(x["field"], r'(["\\])', r"\\$1"), F.lit('":'), x["value"]))
+    return last.groupBy(*key).agg(F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}")).alias(document))
+
+
+def apply_patches(patches: DataFrame, known: DataFrame, key: list[str], arrival: list[str], upstream: str, observed: str, document: str, allowed: list[str]) -> DataFrame:
+    """The merged documents of known keys from sparse patches: stale patches, unknown keys and fields that aren't allowed change nothing."""
+    fresh_ones = mark_stale(patches.join(known.select(*key).distinct(), key, "left_semi"), key, arrival, upstream, observed).where("NOT stale")
+    return merge_json(fresh_ones, key, arrival, document, allowed)

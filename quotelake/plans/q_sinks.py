@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import history
 from ..session import new_folder
 from ..sources import archive, compaction
 from ..sources.keyed_table import MODES, KeyedTable
 from .q_book import exact
 from .q_streaming import events
 from .registry import family
-from .standins import view
+from .standins import view, with_views
 
 Q, SQL, query = family()
 
@@ -71,3 +72,25 @@ def _(spark, d):
     live = compaction.live_objects(table).groupBy("date", "hour").agg(F.max("generation").alias("generation"), F.min(F.expr(f"min_ns div {archive.NANOS_PER_HOUR}")).alias("h"))
     gone = table.read().where(F.col("state") == compaction.SUPERSEDED).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("superseded"))
     return live.join(read, "h").join(gone, ["date", "hour"], "left").select("date", "hour", "generation", "n_rows", F.coalesce("superseded", F.lit(0)).alias("superseded"))
+
+
+DOCUMENT = """concat('{"status":"', status, '"', CASE WHEN seq % 2 = 0 THEN concat(',"depth":{"list":[1,2],"seq":', CAST(seq AS {text}), '}') ELSE '' END,
+  CASE WHEN seq % 3 = 0 THEN concat(',"n":', CAST(seq AS {text})) ELSE '' END, CASE WHEN seq % 5 = 0 THEN ',"gone":1' ELSE '' END, CASE WHEN seq % 7 = 0 THEN ',"n2":null' ELSE '' END, '}')"""
+
+
+@query(
+    "v5_v13_json_patches",
+    with_views(
+        "md_polls",
+        f"""WITH p AS (SELECT *, {DOCUMENT.replace("{text}", "VARCHAR")} AS document, max(source_ts) OVER w AS top, max(observed_at) OVER w AS seen FROM md_polls WHERE market % 4 <> 0 WINDOW w AS (PARTITION BY market ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT * FROM p WHERE NOT coalesce(CASE WHEN source_ts IS NOT NULL AND top IS NOT NULL THEN source_ts <= top ELSE observed_at <= seen END, false)),
+k AS (SELECT market, seq, document, unnest(json_keys(document)) AS field FROM f),
+l AS (SELECT market, field, arg_max(json_extract(document, '$.' || field)::VARCHAR, seq) AS value FROM k WHERE field IN ('status', 'depth', 'n', 'n2') GROUP BY ALL)
+SELECT market, '{{' || string_agg('"' || field || '":' || value, ',' ORDER BY field) || '}}' AS document FROM l GROUP BY market""",
+    ),
+)
+def _(spark, d):
+    """Sparse patches of known markets merged field by field: stale ones and fields off the list change nothing."""
+    polls = view(spark, d, "md_polls").withColumn("document", F.expr(DOCUMENT.replace("{text}", "STRING")))
+    known = polls.where("market % 4 <> 0").select("market")
+    return history.apply_patches(polls, known, ["market"], ["seq"], "source_ts", "observed_at", "document", ["status", "depth", "n", "n2"])

@@ -341,3 +341,27 @@ def test_scan_prunes_partitions(spark, tmp_path):
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "hour" in filters and "date" in filters
+
+
+def test_json_objects_merge_by_field(spark):
+    rows = [(1, 1, '{"a":1,"b":{"x":[1,2]},"q\\"k":"v"}'), (1, 2, '{"a":null}'), (1, 3, '{"b":{"y":2},"c":"text"}'), (2, 1, "not json"), (2, 2, "[1]"), (3, 1, None), (4, 5, '{"a":"new"}'), (4, 4, '{"a":"old","d":1.50}')]
+    docs = spark.createDataFrame(rows, "k int, n int, doc string")
+    got = {r.k: r.doc for r in history.merge_json(docs, ["k"], ["n"], "doc").collect()}
+    assert got == {1: '{"a":null,"b":{"y":2},"c":"text","q\\"k":"v"}', 2: "{}", 3: "{}", 4: '{"a":"new","d":1.5}'}
+    allowed = {r.k: r.doc for r in history.merge_json(docs, ["k"], ["n"], "doc", ["c", "d"]).collect()}
+    assert allowed == {1: '{"c":"text"}', 2: "{}", 3: "{}", 4: '{"d":1.5}'}
+    assert history.merge_json(docs.limit(0), ["k"], ["n"], "doc").count() == 0
+
+
+def test_rows_without_a_time_are_never_suppressed(spark):
+    rows = [("a", T0, 1, "x"), ("a", None, 2, "x"), ("a", T0 + timedelta(seconds=5), 3, "x"), ("a", None, 4, "y"), ("a", T0 + timedelta(seconds=50), 5, "x")]
+    got = sampling.suppress_unchanged(spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq int, v string"), ["k"], ["ts", "seq"], "v", 40)
+    assert sorted(r.seq for r in got.collect()) == [1, 2, 4, 5]
+
+
+def test_windows_around_each_other_are_counted_once(spark):
+    rows = spark.createDataFrame([("a", us) for us in (0, 1, 2, 3, 9, 60)] + [("b", 5)], "k string, us long")
+    got = health.unsaturated_windows(rows, "k", "us", 64, 3, 4)
+    assert sorted(map(tuple, got.collect())) == [("a", 0, 4, 4, True), ("a", 8, 8, 1, False), ("a", 32, 32, 1, False), ("b", 0, 64, 1, False)]
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(health.unsaturated_windows(rows, "k", "us", 1 << 22, 3, 1)._jdf.queryExecution(), "simple")
+    assert plan.count("Scan ExistingRDD") == 1
