@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +12,24 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_WRITTEN: list[str] = []
+#: What the innermost ``last_kept`` of this thread has seen written.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    _WRITTEN.append(new_folder(spark, name))
-    return _WRITTEN[-1]
+    path = new_folder(spark, name)
+    if _WRITTEN.get() is not None:
+        _WRITTEN.get().append(path)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that ``scratch`` gave."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    _WRITTEN.remove(path)
+    if _WRITTEN.get() and path in _WRITTEN.get():
+        _WRITTEN.get().remove(path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -46,11 +51,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def last_kept(spark: SparkSession) -> Iterator[None]:
-    """Of the folders that are written inside, only the last stays: for code that ends by cutting its result."""
-    before = len(_WRITTEN)
-    yield
-    for path in _WRITTEN[before:-1]:
-        remove(spark, path)
+    """Of the folders that this thread writes inside, only the last stays, and none after an error: for code that ends by cutting its result."""
+    mine: list[str] = []
+    outer = _WRITTEN.set(mine)
+    try:
+        yield
+        kept = mine[-1:]
+    except BaseException:
+        kept = []
+        raise
+    finally:
+        for path in [p for p in mine if p not in kept]:
+            remove(spark, path)
+        _WRITTEN.reset(outer)
+        if kept and _WRITTEN.get() is not None:
+            _WRITTEN.get().extend(kept)
 
 
 def digest(*columns: Column) -> Column:
