@@ -54,14 +54,14 @@ def _(spark, d):
 
 @query(
     "a13_compact_generations",
-    """WITH r AS (SELECT date_trunc('hour', ts) AS h, user_id % 6 AS part FROM events), f AS (SELECT h, count(DISTINCT part) AS files, count(*) AS n FROM r GROUP BY h)
+    """WITH r AS (SELECT date_trunc('hour', make_timestamp(epoch_us(ts) // 24)) AS h, user_id % 6 AS part FROM events), f AS (SELECT h, count(DISTINCT part) AS files, count(*) AS n FROM r GROUP BY h)
 SELECT strftime(h, '%Y-%m-%d') AS date, strftime(h, '%H') AS hour, CASE WHEN files >= 4 THEN 1 ELSE 0 END::INT AS generation, sum(n)::BIGINT AS n_rows, max(CASE WHEN files >= 4 THEN files ELSE 0 END)::BIGINT AS superseded FROM f GROUP BY ALL""",
 )
 def _(spark, d):
     """Hours with four files or more are merged and the files replaced in the manifest; readers see each row once."""
     root = new_folder(spark, "compacted-archive")
     us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
-    rows = view(spark, d, "bk_events").select("token_key", "seq", (us * 1000).alias("received_ts_ns"))
+    rows = view(spark, d, "bk_events").select("token_key", "seq", (F.floor(us / 24) * 1000).alias("received_ts_ns"))  # a day's rows in an hour
     for part in range(6):
         archive.write_archive(rows.where(F.col("token_key") % 6 == part), root, "x", "orderbook_updates")
     table = compaction.manifest_table(spark, f"{root}-manifest")
