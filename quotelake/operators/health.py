@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars as s
+from .book import last_before
+
+# What makes a run's result partial (if it is there and neither null, false, zero nor empty).
+PARTIAL = ("write_failures", "archive_degraded", "trades.saturated_markets", "trades.history_floor_markets", "fees_incentives.errors", "comments.errors", "metadata.malformed_markets_skipped", "metadata.invalid_market_metric_values_normalized")
+# The reasons that each kind of all-clear resolves.
+RECORD = ("bounded_queue_timeout",)
+TRANSIENT = ("bounded_queue_timeout", "durable_journal_live_admission_spill", "archive_spool_capacity_exceeded")
+OPTIONAL = ("storage_critical_optional_hot_write_shed", "postgres_critical_optional_hot_write_shed")
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of each table."""
@@ -96,6 +106,65 @@ def open_degradations(raised: DataFrame, resolved: DataFrame, key: str) -> DataF
     return raised.join(resolved.select(key).distinct(), key, "left_anti")
 
 
+def resolve_degradations(raised: DataFrame, signals: DataFrame, runs: DataFrame, parts: int = 1) -> DataFrame:
+    """``raised`` with ``resolved_at``, the first all-clear at or after it that concerns it; null: still open.
+
+    raised: event_id (unique), run_id, reason, record_id, raised_at. signals: kind, run_id,
+    record_id, at; ``record`` clears a record's timeout, ``transient`` the passing troubles
+    of its own run (no run: of those without one) and of runs of the same job that have
+    finished by then, ``optional`` what was shed under pressure. runs: run_id (unique),
+    job_type, finished_at (null: running). Signals without a time are passed over, and a
+    degradation without one stays open.
+
+    Each degradation asks under up to three keys, each signal answers under one or two,
+    and the answer is an as-of join on mirrored time, so nothing is paired; all of
+    ``optional`` is one key, which ``parts`` spreads.
+    """
+    known = runs.select(F.col("run_id").alias("known_run"), "job_type", "finished_at")
+    of_run = F.col("run_id") == F.col("known_run")
+    named = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c).cast("string"))
+    own, job = F.coalesce(named("run", "run_id"), F.lit("no run")), named("job", "job_type")
+    passing = F.col("reason").isin(*TRANSIENT)
+    asks = (
+        F.when(F.col("reason").isin(*RECORD), F.struct(named("record", "record_id").alias("key"), F.col("raised_at").alias("since"))),
+        F.when(passing, F.struct(own.alias("key"), F.col("raised_at").alias("since"))),
+        F.when(passing & F.col("finished_at").isNotNull(), F.struct(job.alias("key"), F.greatest("raised_at", "finished_at").alias("since"))),
+        F.when(F.col("reason").isin(*OPTIONAL), F.struct(F.lit("optional").alias("key"), F.col("raised_at").alias("since"))),
+    )
+    whole = F.struct(*raised.columns)
+    asked = raised.join(known, of_run, "left").select(F.col("event_id").alias("event"), whole.alias("row"), F.inline_outer(F.array_compact(F.array(*asks))))
+    asked = asked.withColumn("since", F.when(F.col("row.raised_at").isNotNull(), -s.micros(F.col("since"))))
+    kind = F.col("kind")
+    answers = F.array(F.when(kind == "record", named("record", "record_id")), F.when(kind == "transient", own), F.when(kind == "transient", job), F.when(kind == "optional", F.lit("optional")))
+    told = signals.where(F.col("at").isNotNull()).join(known, of_run, "left").select("at", F.explode(F.array_compact(answers)).alias("key"), (-s.micros(F.col("at"))).alias("mirrored"))
+    askable = F.col("key").isNotNull() & F.col("since").isNotNull()
+    met = last_before(asked.where(askable), told, ["key"], "since", "mirrored", ["at"], ["at"], parts)
+    met = met.select("event", "row", "at").unionByName(asked.where(~askable).select("event", "row", F.lit(None).cast(signals.schema["at"].dataType).alias("at")))
+    return met.groupBy("event").agg(F.any_value("row").alias("row"), F.min("at").alias("resolved_at")).select("row.*", "resolved_at")
+
+
+def nested_total(document: Column) -> Column:
+    """The sum of all whole numbers of a JSON document, at any depth; text that is no JSON has none.
+
+    Texts, field names among them, are blanked first; what is left of digits are
+    numbers. Fractions, exponents and booleans don't count. One expression, no recursion.
+    """
+    bare = F.regexp_replace(document, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    found = F.filter(F.regexp_extract_all(bare, F.lit(r"(-?\d[\d.eE+-]*)"), F.lit(1)), lambda x: x.rlike(r"^-?\d+$"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    total = F.aggregate(found, zero, lambda a, x: (a + x.try_cast("decimal(38,0)")).cast("decimal(38,0)"))
+    return F.when(F.try_parse_json(document).isNotNull(), total).otherwise(zero)
+
+
+def run_results(runs: DataFrame, document: str, flags: tuple[str, ...] = PARTIAL) -> DataFrame:
+    """Adds ``processed``, the sum of a run's nested counters, and ``status``: partial if any of its ``flags`` (paths) is set, else completed."""
+    raised = F.lit(False)
+    for path in flags:
+        value = F.get_json_object(document, f"$.{path}")
+        raised = raised | F.coalesce(~value.isin("", "false", "[]", "{}") & (value.try_cast("double").isNull() | (value.try_cast("double") != 0)), F.lit(False))
+    return runs.withColumns({"processed": nested_total(F.col(document)), "status": F.when(raised, "partial").otherwise("completed")})
+
+
 def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """``key, rule`` of every broken rule, all rules in one pass; a rule that is null isn't broken."""
     broken = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]))

@@ -84,6 +84,26 @@ def stitch_intervals(rows: DataFrame, key: list[str], start: str, tie: str, decl
     return rows.withColumn("effective_to", F.least(F.col(declared), following))
 
 
+def scheduled_versions(rows: DataFrame, key: list[str], start: str, arrival: list[str], content: str, declared: str, observed: str, source: str) -> DataFrame:
+    """Settings announced ahead of time: ``key, start, content, declared, observed, source, revisions, effective_to``.
+
+    One row a key and start; the last to arrive replaces what was announced for that
+    start before, be it earlier or later than other starts, and equal content is never
+    skipped because of a neighbour. The times of observation and source only grow.
+    ``revisions`` counts the arrivals that changed content or declared end. A row without
+    a start is no announcement and is left out.
+    """
+    known = rows.where(F.col(start).isNotNull())
+    moved, place = fresh(rows, "moved", "place")
+    at = Window.partitionBy(*key, start).orderBy(*arrival)
+    now = F.struct(F.col(content), F.col(declared))
+    known = known.withColumn(place, F.row_number().over(at)).withColumn(moved, F.coalesce((~now.eqNullSafe(F.lag(now).over(at))).cast("long"), F.lit(1)))
+    last = F.max_by(F.struct(content, declared), place)
+    out = known.groupBy(*key, start).agg(last.alias(place), F.max(observed).alias(observed), F.max(source).alias(source), F.sum(moved).alias("revisions"))
+    out = out.select(*key, start, F.col(f"{place}.{content}").alias(content), F.col(f"{place}.{declared}").alias(declared), observed, source, "revisions")
+    return stitch_intervals(out, key, start, start, declared)
+
+
 def bump_ties(rows: DataFrame, key: list[str], micros: str, order: list[str]) -> DataFrame:
     """Moves a time that isn't after the one before it to 1 µs after it: ``n + max(t - n)`` over the rows so far."""
     at = Window.partitionBy(*key).orderBy(*order)

@@ -207,21 +207,105 @@ def frames(raw: DataFrame) -> DataFrame:
     return rows.withColumn("message_type", classify(F.col("payload"), F.col("bad"))).drop("frame", "bad")
 
 
+def _heads(*names: str) -> dict[str, Column]:
+    """Columns that several archive streams share, by name."""
+    times = {"source_ts_ns": "source_ts", "exchange_ts_ns": "exchange_ts", "received_ts_ns": "ts"}
+    keys = {"market_key": "market", "token_key": "token"}
+    return {n: s.stable_key(keys[n], F.col(keys[n])) if n in keys else s.micros(F.col(times[n])) * 1000 if n in times else F.col(n) for n in names}
+
+
+def _decimals(**columns: str) -> dict[str, Column]:
+    out = {}
+    for prefix, column in columns.items():
+        out[f"{prefix}_mantissa"], out[f"{prefix}_scale"] = s.decimal_split(F.col(column))
+    return out
+
+
+def _select(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return rows.select(*[c.alias(n) for n, c in columns.items()])
+
+
 def encode_updates(rows: DataFrame) -> DataFrame:
-    """Book changes in the archive's compact columns. rows: market, token, ts, side, action, price, size (text); an addition keeps its code whatever its sign."""
-    price, size = s.decimal_split(F.col("price")), s.decimal_split(F.col("size"))
-    ns = s.micros(F.col("ts")) * 1000
-    return rows.select(
-        s.stable_key("market", F.col("market")).alias("market_key"),
-        s.stable_key("token", F.col("token")).alias("token_key"),
-        ns.alias("received_ts_ns"),
-        s.code(F.col("side"), s.SIDES).alias("side"),
-        s.code(F.col("action"), s.ACTIONS).alias("action"),
-        price[0].alias("price_mantissa"),
-        price[1].alias("price_scale"),
-        size[0].alias("size_mantissa"),
-        size[1].alias("size_scale"),
-    )
+    """Book changes in the archive's compact columns. rows: market, token, ts, side, action, price, size (text), and size_delta if there is one.
+
+    A change that has only a delta is an addition; an addition keeps its code whatever
+    its sign, any other change to nothing or less is a deletion; an unknown action sets.
+    """
+    delta = F.col("size_delta") if "size_delta" in rows.columns else F.lit(None).cast("string")
+    size = F.coalesce(F.col("size"), delta)
+    action = F.when(F.col("size").isNull() & delta.isNotNull(), s.ACTIONS["delta"]).otherwise(F.coalesce(s.code(F.col("action"), s.ACTIONS), F.lit(s.ACTIONS["set"])))
+    gone = (size.try_cast("double") <= 0) & (action != s.ACTIONS["delta"])
+    mantissa, scale = s.decimal_split(size)
+    columns = _heads("market_key", "token_key", "received_ts_ns") | {"side": s.code(F.col("side"), s.SIDES), "action": F.when(gone, s.ACTIONS["delete"]).otherwise(action).cast("tinyint")}
+    return _select(rows, columns | _decimals(price="price") | {"size_mantissa": mantissa, "size_scale": scale})
+
+
+def _levels(text: str, side: str) -> Column:
+    """Levels of a JSON list of (price, size); entries that aren't such pairs are left out."""
+    pairs = F.filter(F.transform(s.json_list(F.col(text)), lambda x: F.from_json(x, "array<string>")), lambda x: F.size(x) >= 2)
+
+    def one(pair: Column) -> Column:
+        price, size = s.decimal_split(F.get(pair, F.lit(0))), s.decimal_split(F.get(pair, F.lit(1)))
+        return F.struct(F.lit(s.SIDES[side]).alias("side"), price[0].alias("price_mantissa"), price[1].alias("price_scale"), size[0].alias("size_mantissa"), size[1].alias("size_scale"))
+
+    return F.transform(pairs, one)
+
+
+def encode_snapshots(rows: DataFrame) -> DataFrame:
+    """Whole books. rows: market, token, connection_id, source_ts, exchange_ts, ts, book_hash, snapshot_type, bids, asks (JSON lists), is_reconciliation; unknown types are those of the exchange."""
+    kind = F.coalesce(s.code(F.col("snapshot_type"), s.SNAPSHOTS), F.lit(s.SNAPSHOTS["exchange"])).cast("tinyint")
+    columns = _heads("market_key", "token_key", "connection_id", "source_ts_ns", "exchange_ts_ns", "received_ts_ns", "book_hash")
+    return _select(rows, columns | {"snapshot_type": kind, "levels": F.concat(_levels("bids", "buy"), _levels("asks", "sell")), "is_reconciliation": F.coalesce("is_reconciliation", F.lit(False))})
+
+
+def encode_observations(rows: DataFrame) -> DataFrame:
+    """Sampled book states. rows: market, token, ts, kind, recent_trade_count, recent_update_count, and best_bid, best_ask, bid_depth, ask_depth, last_trade as text."""
+    columns = _heads("market_key", "token_key", "received_ts_ns") | {"observation_kind": F.when(F.col("kind") == "heartbeat", 2).otherwise(1).cast("tinyint")}
+    columns |= {n: F.coalesce(F.col(n), F.lit(0)) for n in ("recent_trade_count", "recent_update_count")}
+    return _select(rows, columns | _decimals(**{n: n for n in ("best_bid", "best_ask", "bid_depth", "ask_depth", "last_trade")}))
+
+
+def encode_references(rows: DataFrame) -> DataFrame:
+    """Reference prices. rows: provider, external_instrument_id, external_update_id, connection_id, source_ts, exchange_ts, ts, publish_slot, source_status, and price, bid, ask, confidence as text."""
+    columns = _heads("provider", "external_instrument_id", "external_update_id", "connection_id", "source_ts_ns", "exchange_ts_ns", "received_ts_ns", "publish_slot", "source_status")
+    return _select(rows, columns | {n: s.as_decimal(F.col(n)) for n in ("price", "bid", "ask", "confidence")})
+
+
+def encode_frames(rows: DataFrame) -> DataFrame:
+    """Raw socket frames. rows: market, token, connection_id, source_ts, exchange_ts, ts, channel, message_type, payload; ``payload_hash`` is made where it isn't given."""
+    given = F.col("payload_hash") if "payload_hash" in rows.columns else F.lit(None).cast("string")
+    columns = _heads("market_key", "token_key", "connection_id", "source_ts_ns", "exchange_ts_ns", "received_ts_ns", "channel", "message_type", "payload")
+    return _select(rows, columns | {"payload_hash": F.coalesce(given, s.content_hash(F.col("payload")))})
+
+
+def encode_bodies(rows: DataFrame) -> DataFrame:
+    """Raw response bodies. rows: payload; ``content_hash`` and ``response_bytes`` are made where they aren't given."""
+    given = lambda n, made: F.coalesce(F.col(n), made) if n in rows.columns else made
+    payload = F.col("payload")
+    return _select(rows, {"content_hash": given("content_hash", s.content_hash(payload)), "response_bytes": given("response_bytes", F.octet_length(payload)).cast("bigint"), "payload": payload})
+
+
+def encode_entries(rows: DataFrame) -> DataFrame:
+    """Dictionary entries, which are compact already."""
+    return rows
+
+
+ENCODERS = {
+    "orderbook_updates": encode_updates,
+    "orderbook_snapshots": encode_snapshots,
+    "microstructure_observations": encode_observations,
+    "reference_prices": encode_references,
+    "raw_ws": encode_frames,
+    "raw_rest": encode_bodies,
+    "archive_dictionary": encode_entries,
+}
+
+
+def encode_compact(stream: str, rows: DataFrame) -> DataFrame:
+    """Verbose rows as the compact rows of an archive stream."""
+    if stream not in ENCODERS:
+        raise ValueError(f"unknown archive stream {stream!r}")
+    return ENCODERS[stream](rows)
 
 
 def decode_updates(rows: DataFrame) -> DataFrame:

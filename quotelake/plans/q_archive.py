@@ -231,6 +231,21 @@ def _(spark, d):
     return flat.groupBy("event_type").agg(F.sum("v").alias("total"), F.when(F.max("v") == 99, "partial").otherwise("completed").alias("status"))
 
 
+def run_details(spark, d):
+    """A nested result for each event: counters at several depths, flags, fractions, numbers inside texts, some of it broken."""
+    rows = view(spark, d, "bk_events")
+    k, seq = F.col("k"), F.col("seq")
+    trades = F.struct(k.alias("pages"), F.when(k % 7 == 0, k).otherwise(0).alias("saturated_markets"), F.array(F.lit(1), k, F.lit(-2)).alias("by_page"))
+    deep = F.struct(F.array(F.struct((seq % 5).alias("n2"), F.lit(True).alias("ok"), F.lit(0.5).alias("rate"))).alias("shards"))
+    body = F.to_json(F.struct(trades.alias("trades"), F.struct((k % 11 == 0).alias("errors"), F.lit('said "12" \\ 7').alias("note")).alias("comments"), deep.alias("deep 9")))
+    return rows.select("seq", F.when(k % 13 == 0, F.substring(body, 1, 30)).otherwise(body).alias("details"))
+
+
+@query("g11_run_results", with_views("bk_events", "SELECT seq, CASE WHEN k % 13 = 0 THEN 0 ELSE k + CASE WHEN k % 7 = 0 THEN k ELSE 0 END + 1 + k - 2 + seq % 5 END::BIGINT AS processed, CASE WHEN k % 13 <> 0 AND ((k % 7 = 0 AND k > 0) OR k % 11 = 0) THEN 'partial' ELSE 'completed' END AS status FROM bk_events"))
+def _(spark, d):
+    return g.run_results(run_details(spark, d), "details").select("seq", F.col("processed").cast("bigint").alias("processed"), "status")
+
+
 @query("g13_percentile", "SELECT event_type, quantile_disc(value, 0.99) AS value FROM events GROUP BY event_type")
 def _(spark, d):
     return g.nearest_rank(table(spark, d, "events"), "event_type", "value", 0.99)
@@ -266,6 +281,35 @@ def _(spark, d):
     return g.open_degradations(ev.where("event_type = 'error'").select("event_id", "user_id"), ev.where("event_type = 'signup' AND value > 150"), "user_id")
 
 
+REASONS = [*g.TRANSIENT, g.OPTIONAL[0], "other"]
+
+
+@query(
+    "h4_resolved_degradations",
+    with_views(
+        "bk_events",
+        f"""WITH e AS (SELECT seq AS event_id, CASE WHEN token_key % 9 > 0 THEN token_key END AS run_id, ({REASONS!r})[k % 5 + 1] AS reason, k AS record_id, ts AS raised_at FROM bk_events WHERE event_type IN ('error', 'click')),
+g AS (SELECT ['record', 'transient', 'optional'][seq % 3 + 1] AS kind, CASE WHEN token_key % 9 > 0 THEN token_key END AS run_id, k AS record_id, ts AS told FROM bk_events WHERE event_type = 'signup' AND k < 20),
+r AS (SELECT token_key AS run_id, token_key % 7 AS job_type, CASE WHEN token_key % 4 > 0 THEN max(ts) - INTERVAL 10 DAY END AS finished_at FROM bk_events GROUP BY token_key),
+w AS (SELECT g.*, r.job_type FROM g LEFT JOIN r USING (run_id)),
+x AS (SELECT e.*, r.job_type, r.finished_at FROM e LEFT JOIN r USING (run_id))
+SELECT event_id, min(told) AS resolved_at FROM x LEFT JOIN w ON told >= raised_at AND CASE kind WHEN 'record' THEN reason = 'bounded_queue_timeout' AND x.record_id = w.record_id
+WHEN 'optional' THEN reason IN {g.OPTIONAL!r} ELSE reason IN {g.TRANSIENT!r} AND (x.run_id IS NOT DISTINCT FROM w.run_id OR (x.job_type = w.job_type AND finished_at <= told)) END
+GROUP BY event_id""",
+    ),
+)
+def _(spark, d):
+    """Degradations and the first all-clear by their record, run, job or kind."""
+    rows = view(spark, d, "bk_events")
+    run = F.when(F.col("token_key") % 9 > 0, F.col("token_key")).alias("run_id")
+    name = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int"))
+    raised = rows.where("event_type IN ('error', 'click')").select(F.col("seq").alias("event_id"), run, name(REASONS, F.col("k") % 5).alias("reason"), F.col("k").alias("record_id"), F.col("ts").alias("raised_at"))
+    signals = rows.where("event_type = 'signup' AND k < 20").select(name(["record", "transient", "optional"], F.col("seq") % 3).alias("kind"), run, F.col("k").alias("record_id"), F.col("ts").alias("at"))
+    end = F.when(F.col("run_id") % 4 > 0, F.expr("max(ts) - INTERVAL '10' DAY"))
+    runs = rows.groupBy(F.col("token_key").alias("run_id")).agg(F.first_value("token_key").alias("job_type"), end.alias("finished_at")).withColumn("job_type", F.col("job_type") % 7)
+    return g.resolve_degradations(raised, signals, runs).select("event_id", "resolved_at")
+
+
 @query("h5_run_coverage", with_views("mk_markets mk_prev_tiers", "SELECT count(*) AS discovered, count(*) FILTER (active) AS active, count(*) FILTER (active AND accepting AND book AND n_tokens > 0) AS tradable, count(*) FILTER (tier <> 'none') AS subscribed FROM mk_markets LEFT JOIN mk_prev_tiers USING (external_id)"))
 def _(spark, d):
     rows = view(spark, d, "mk_markets").join(view(spark, d, "mk_prev_tiers"), "external_id", "left")

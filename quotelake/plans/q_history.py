@@ -71,6 +71,26 @@ def _(spark, d):
     return h.drop_unchanged(settings(spark, d), ["scope_id", "cfg_type"], ["effective_from"], "setting").select("scope_id", "cfg_type", "effective_from", "setting", "id")
 
 
+@query(
+    "v6_scheduled_history",
+    with_views(
+        "cfg_rows",
+        """WITH m AS (SELECT scope_id // 8 AS scope, cfg_type, date_trunc('month', effective_from) AS starts, id, effective_from AS observed_at, effective_from - INTERVAL 1 HOUR * (id % 5) AS source_ts, setting // 2 AS setting, declared_to FROM cfg_rows),
+c AS (SELECT *, row_number() OVER w AS rn, lag((setting, declared_to)) OVER w AS old FROM m WINDOW w AS (PARTITION BY scope, cfg_type, starts ORDER BY id)),
+u AS (SELECT scope, cfg_type, starts, arg_max((setting, declared_to), id) AS last, max(observed_at) AS observed_at, max(source_ts) AS source_ts, count(*) FILTER (rn = 1 OR (setting, declared_to) IS DISTINCT FROM old) AS revisions FROM c GROUP BY ALL)
+SELECT scope, cfg_type, starts, last[1] AS setting, observed_at, source_ts, revisions, least(last[2], lead(starts) OVER (PARTITION BY scope, cfg_type ORDER BY starts)) AS effective_to FROM u""",
+    ),
+)
+def _(spark, d):
+    """Settings announced for the month; what was announced for the same month before is replaced."""
+    rows = view(spark, d, "cfg_rows").select(
+        F.expr("scope_id div 8").alias("scope"), "cfg_type", F.date_trunc("month", "effective_from").cast("timestamp_ntz").alias("starts"), "id", F.col("effective_from").cast("timestamp_ntz").alias("observed_at"),
+        F.timestamp_add("HOUR", -(F.col("id") % 5).cast("int"), F.col("effective_from").cast("timestamp_ntz")).alias("source_ts"), F.expr("setting div 2").alias("setting"), F.col("declared_to").cast("timestamp_ntz").alias("declared_to"),
+    )
+    out = h.scheduled_versions(rows, ["scope", "cfg_type"], "starts", ["id"], "setting", "declared_to", "observed_at", "source_ts")
+    return out.select("scope", "cfg_type", "starts", "setting", "observed_at", "source_ts", "revisions", "effective_to")
+
+
 @query("v7_stitch_intervals", with_views("cfg_rows", "SELECT id, effective_from, least(declared_to, lead(effective_from) OVER (PARTITION BY scope_id, cfg_type ORDER BY effective_from, id)) AS effective_to FROM cfg_rows"))
 def _(spark, d):
     return h.stitch_intervals(view(spark, d, "cfg_rows"), ["scope_id", "cfg_type"], "effective_from", "id", "declared_to").select("id", "effective_from", "effective_to")

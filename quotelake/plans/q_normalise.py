@@ -184,6 +184,69 @@ def _(spark, d):
     return n.decode_updates(n.encode_updates(updates(spark, d))).select("ts", F.col("side").cast("int").alias("side"), F.col("action").cast("int").alias("action"), *exact("price", "size"))
 
 
+def stamped(spark, d, *more):
+    """Rows of the feed with the columns that all archive streams share."""
+    c = F.col
+    return view(spark, d, "bk_events").select("seq", "k", F.concat(F.lit("m"), c("token_key")).alias("market"), c("token_key").cast("string").alias("token"), (c("k") % 3).alias("connection_id"), "ts", F.when(c("k") % 4 > 0, c("ts")).alias("source_ts"), F.lit(None).cast("timestamp_ntz").alias("exchange_ts"), *more)
+
+
+NS = "epoch_us(ts) * 1000 AS received_ts_ns, CASE WHEN k % 4 > 0 THEN epoch_us(ts) * 1000 END AS source_ts_ns"
+
+
+@query(
+    "n23_snapshots",
+    with_views(
+        "bk_events",
+        f"""WITH l AS (SELECT *, unnest(list_concat([{{'side': 1, 'pm': (price * 1000000)::BIGINT, 'ps': 6, 'sm': (x * 100)::BIGINT, 'ss': 2}}, {{'side': 1, 'pm': k::BIGINT, 'ps': 0, 'sm': NULL, 'ss': NULL}}],
+CASE WHEN k % 2 = 1 THEN [{{'side': 2, 'pm': 9::BIGINT, 'ps': 1, 'sm': 500::BIGINT, 'ss': 2}}] ELSE [] END)) AS l FROM bk_events WHERE event_type = 'signup')
+SELECT book_hash, {NS}, connection_id, snapshot_type, is_reconciliation, l.side AS side, l.pm AS price_mantissa, l.ps AS price_scale, l.sm AS size_mantissa, l.ss AS size_scale FROM (SELECT *, seq AS book_hash, k % 3 AS connection_id, CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 4 ELSE 1 END AS snapshot_type, k % 3 = 0 AS is_reconciliation FROM l)""",
+    ),
+)
+def _(spark, d):
+    """Whole books with levels that are too short, aren't numbers, or aren't there."""
+    c = F.col
+    bids = F.concat(F.lit('[["'), c("price").cast("string"), F.lit('","'), c("x").cast("string"), F.lit('"],["0.1"],7,['), c("k").cast("string"), F.lit(',"many"]]'))
+    asks = F.when(c("k") % 2 == 1, '[["0.9", "5.00"]]').otherwise("broken")
+    kind = F.element_at(F.array(F.lit("Reconciliation"), F.lit("closing"), F.lit("odd")), c("k") % 3 + 1)
+    rows = stamped(spark, d, "event_type", bids.alias("bids"), asks.alias("asks"), kind.alias("snapshot_type"), F.when(c("k") % 3 == 0, True).alias("is_reconciliation"), c("seq").alias("book_hash"))
+    out = n.encode_compact("orderbook_snapshots", rows.where("event_type = 'signup'"))
+    flat = out.select("book_hash", "received_ts_ns", "source_ts_ns", "connection_id", c("snapshot_type").cast("int"), "is_reconciliation", F.inline("levels"))
+    return flat.withColumns({name: c(name).cast("int") for name in ("side", "price_scale", "size_scale")})
+
+
+@query("n23_observations", with_views("bk_events", f"SELECT epoch_us(ts) * 1000 AS received_ts_ns, CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS observation_kind, CASE WHEN k % 2 = 0 THEN k ELSE 0 END AS recent_trade_count, k AS recent_update_count, CASE WHEN side = 1 THEN (price * 1000000)::BIGINT END AS best_bid_mantissa, CASE WHEN side = 1 THEN 6 END AS best_bid_scale, (x * 100)::BIGINT AS bid_depth_mantissa, 2 AS bid_depth_scale FROM bk_events"))
+def _(spark, d):
+    c = F.col
+    quote, none = c("price").cast("string"), F.lit(None).cast("string")
+    kind = F.when(c("k") % 5 == 0, "heartbeat").otherwise("change")
+    rows = stamped(spark, d, kind.alias("kind"), F.when(c("k") % 2 == 0, c("k")).alias("recent_trade_count"), c("k").alias("recent_update_count"), F.when(c("side") == 1, quote).alias("best_bid"), none.alias("best_ask"), c("x").cast("string").alias("bid_depth"), none.alias("ask_depth"), none.alias("last_trade"))
+    out = n.encode_compact("microstructure_observations", rows)
+    return out.select("received_ts_ns", c("observation_kind").cast("int"), "recent_trade_count", "recent_update_count", "best_bid_mantissa", c("best_bid_scale").cast("int"), "bid_depth_mantissa", c("bid_depth_scale").cast("int"))
+
+
+@query("n23_references", with_views("ref_prices", "SELECT provider, instrument AS external_instrument_id, seq AS external_update_id, epoch_us(ts) * 1000 AS received_ts_ns, k AS publish_slot, CASE WHEN k % 6 > 0 THEN price::DECIMAL(38, 6)::VARCHAR END AS price, (k * 0.25)::DECIMAL(38, 6)::VARCHAR AS confidence FROM ref_prices"))
+def _(spark, d):
+    c, none = F.col, F.lit(None).cast("string")
+    nothing = F.lit(None).cast("timestamp_ntz")
+    rows = view(spark, d, "ref_prices").select(
+        "provider", c("instrument").alias("external_instrument_id"), c("seq").alias("external_update_id"), F.lit(1).alias("connection_id"), nothing.alias("source_ts"), nothing.alias("exchange_ts"), "ts", c("k").alias("publish_slot"), none.alias("source_status"),
+        F.when(c("k") % 6 > 0, c("price").cast("string")).otherwise("n/a").alias("price"), none.alias("bid"), none.alias("ask"), (c("k") * F.lit(0.25).cast("decimal(4,2)")).cast("string").alias("confidence"),
+    )
+    out = n.encode_compact("reference_prices", rows)
+    return out.select("provider", "external_instrument_id", "external_update_id", "received_ts_ns", "publish_slot", *exact("price", "confidence"))
+
+
+@query("n23_raw_frames", with_views("bk_events", f"SELECT {NS}, event_type AS message_type, seq::VARCHAR || event_type AS payload, sha256(seq::VARCHAR || event_type) AS payload_hash FROM bk_events"))
+def _(spark, d):
+    rows = stamped(spark, d, F.lit("market").alias("channel"), F.col("event_type").alias("message_type"), F.concat(F.col("seq").cast("string"), "event_type").alias("payload"))
+    return n.encode_compact("raw_ws", rows).select("received_ts_ns", "source_ts_ns", "message_type", "payload", "payload_hash")
+
+
+@query("n23_raw_bodies", "SELECT sha256(html) AS content_hash, strlen(html)::BIGINT AS response_bytes, html AS payload FROM pages")
+def _(spark, d):
+    return n.encode_compact("raw_rest", table(spark, d, "pages").select(F.col("html").alias("payload")))
+
+
 @query("n24_invalid_metrics", "WITH b AS (SELECT 'm' || o_orderkey AS id FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey % 89 <> 0) SELECT 'liquidityNum' AS metric, count(*) AS invalid, (SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT id FROM b ORDER BY id LIMIT 10)) AS samples FROM b")
 def _(spark, d):
     return n.metric_diagnostics(raw_markets(spark, d).where("o_orderkey % 89 <> 0"), ["liquidityNum", "volume24hr", "spread"])
