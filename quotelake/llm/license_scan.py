@@ -157,12 +157,14 @@ def verified_spans(hits: DataFrame) -> DataFrame:
     spans = merged.groupBy("id", "text_hash", "tid", "label", "grams", "band").agg(F.sum("votes").alias("votes"), F.min("low").alias("start"), (F.max("high") + K).alias("stop"))
     spans = spans.where((F.col("votes") >= COVER * F.col("grams")) & (F.col("votes") >= COVER * (F.col("stop") - F.col("start") - K + 1)))
     spans = spans.select("id", "text_hash", "tid", "label", "start", "stop", "votes", F.least(F.lit(1.0), F.col("votes") / F.col("grams")).alias("coverage"))
-    # Licenses of one family share most of their words: where spans overlap, the best ones stand.
+    # Licenses of one family share most of their words: a span goes if one that it overlaps is clearly better.
+    # Spans that chain together are listed once, and each looks only at those that share words with it.
     order = Window.partitionBy("id", "text_hash").orderBy("start", "stop", "tid")
     before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("begins", F.coalesce((F.col("start") >= before).cast("int"), F.lit(1))).withColumn("place", F.sum("begins").over(order))
-    best = F.max("coverage").over(Window.partitionBy("id", "text_hash", "place"))
-    return spans.withColumn("best", best).where(F.col("coverage") >= RIVAL * F.col("best")).drop("begins", "place", "best")
+    listed = spans.groupBy("id", "text_hash", "place").agg(F.collect_list(F.struct("tid", "label", "start", "stop", "votes", "coverage")).alias("chain"))
+    beaten = lambda a: F.exists("chain", lambda b: (b["start"] < a["stop"]) & (b["stop"] > a["start"]) & (a["coverage"] < RIVAL * b["coverage"]))
+    return listed.select("id", "text_hash", F.inline(F.filter("chain", lambda a: ~beaten(a))))
 
 
 def phrase_columns(words: Column) -> dict[str, Column]:
@@ -222,10 +224,7 @@ a AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {GAP} THEN 0 ELSE 1
 b AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, tid ORDER BY diagonal) AS band FROM a),
 s AS (SELECT doc_id, tid, label, grams, band, sum(votes) AS votes, min(low) AS start, max(high) + {K} AS stop FROM b GROUP BY ALL),
 o1 AS (SELECT doc_id, tid, label, start, stop, least(1.0::DOUBLE, votes::DOUBLE / grams) AS coverage FROM s WHERE votes >= {COVER} * grams AND votes >= {COVER} * (stop - start - {K} + 1)),
-o2 AS (SELECT *, CASE WHEN start < max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop, tid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins FROM o1),
-o3 AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY start, stop, tid ROWS UNBOUNDED PRECEDING) AS place FROM o2),
-o4 AS (SELECT *, max(coverage) OVER (PARTITION BY doc_id, place) AS best FROM o3),
-o AS (SELECT doc_id, label, coverage FROM o4 WHERE coverage >= {RIVAL} * best),
+o AS (SELECT doc_id, label, coverage FROM o1 a WHERE NOT EXISTS (FROM o1 b WHERE b.doc_id = a.doc_id AND b.start < a.stop AND b.stop > a.start AND a.coverage < {RIVAL} * b.coverage)),
 m AS (SELECT g.doc_id, g.pos, f.label FROM g JOIN (VALUES {phrases}) f(phrase, label, n) ON array_to_string(g.words[g.pos + 1:g.pos + f.n], ' ') = f.phrase),
 mb AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM m GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM m UNION SELECT doc_id, label FROM o) GROUP BY doc_id),

@@ -122,6 +122,17 @@ def test_whole_notices_are_told_apart(spark):
     assert got[100] == "bsd,mit" and got[101] == "lgpl" and got[102] == "cc-by"
 
 
+def test_spans_yield_only_to_better_ones_that_they_overlap(spark):
+    spans = {0: (0, 12, 17), 1: (8, 20, 17), 2: (16, 32, 17)}  # template: first and last k-gram that matched, k-grams it has
+    rows = [(d, 1, pos, tid, f"l{tid}", grams, 0) for d in (1, None) for tid, (low, high, grams) in spans.items() for pos in range(low, high + 1)]
+    rows += [(2, 1, pos, tid, f"l{tid}", grams, 0) for tid, (low, high, grams) in spans.items() if tid < 2 for pos in range(low, high + 1)]
+    hits = spark.createDataFrame(rows, "id long, text_hash long, pos int, tid int, label string, grams int, diagonal int")
+    got = sorted((r.id or 0, r.tid, r.start, r.stop) for r in license_scan.verified_spans(hits).collect())
+    # The second overlaps the whole third one; the first shares no word with the third.
+    both = [(0, 0, 16), (2, 16, 36)]
+    assert got == [(0, *s) for s in both] + [(1, *s) for s in both] + [(2, 0, 0, 16), (2, 1, 8, 24)]
+
+
 def test_pipeline_takes_empty_tables_and_other_columns(spark, tmp_path):
     rows = [(i if i % 7 else None, prose(60), f"s{i % 5}") for i in range(60)] + [(5, None, None), (6, "", "s1"), (6, "", "s1")]
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
