@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import fresh
+
 FULL, SAMPLED, NONE = "full", "sampled", "none"
 
 
@@ -72,26 +74,28 @@ def scored(markets: DataFrame, active: DataFrame, previous: DataFrame, as_of: Co
     zero = lambda x: F.coalesce(F.col(x), F.lit(0))
     rows = rows.withColumns({"trade_count": zero("trade_count"), "update_count": zero("update_count"), "names": F.array("external_id", F.concat(F.lit("pm:"), "external_id"))})
     liquidity, volume, trades, updates = (zero(x).cast("double") for x in ("liquidity", "volume_24h", "trade_count", "update_count"))
-    part = lambda x: F.round(x, 6).cast("decimal(18,6)")
-    number = lambda x: F.lit(x).cast("decimal(18,6)")
+    # The score is added up in whole millionths, which is exact and needs no decimals wider than 64 bits.
+    part = lambda x: F.round(F.round(x, 6) * 1_000_000).cast("bigint")
+    millionths = lambda x: F.lit(round(x * 1_000_000)).cast("bigint")
+    (points,) = fresh(rows, "points")
     wide = zero("spread").between(0.02, 0.25)
     seconds = F.timestamp_diff("SECOND", as_of, F.col("close_time"))
     near = (F.col("close_time") > as_of) & (seconds <= 30 * 86400)
     forced, blocked = in_list(F.col("names"), limits.allow), in_list(F.col("names"), limits.block)
-    score = part(F.log10(1 + liquidity) * 10) + part(F.log10(1 + volume) * 8) + F.least(trades * 4, F.lit(40.0)).cast("decimal(18,6)") + part(F.least(F.log1p(updates) * 6, F.lit(30.0)))
-    for cond, points in ((F.col("rewards"), 30), (wide, 20), (near, 10), (forced, 10_000)):
-        score = score + F.when(cond, number(points)).otherwise(number(0))
+    score = part(F.log10(1 + liquidity) * 10) + part(F.log10(1 + volume) * 8) + part(F.least(trades * 4, F.lit(40.0))) + part(F.least(F.log1p(updates) * 6, F.lit(30.0)))
+    for cond, n in ((F.col("rewards"), 30), (wide, 20), (near, 10), (forced, 10_000)):
+        score = score + F.when(cond, millionths(n)).otherwise(millionths(0))
     reasons = _listed((forced, "forced_allowlist"), (liquidity > 0, "liquidity"), (volume > 0, "recent_volume"), (trades > 0, "recent_trades"), (updates > 0, "recent_book_activity"), (F.col("rewards"), "maker_rewards"), (wide, "wide_actionable_spread"), (near, "near_resolution"))
-    rows = rows.withColumns({"score": score.cast("decimal(18,6)"), "reasons": reasons, "eligible": collectable() & ~blocked})
+    rows = rows.withColumns({points: score, "reasons": reasons, "eligible": collectable() & ~blocked})
     dwell = F.coalesce(F.timestamp_diff("SECOND", F.col("tier_since"), as_of), F.lit(0)) < limits.dwell_seconds
     seen = (liquidity >= limits.min_liquidity) | (volume > 0) | F.col("rewards") | (trades >= limits.min_trades) | (updates >= limits.min_updates)
-    kept_full = F.coalesce(F.col("previous") == FULL, F.lit(False)) & (dwell | (F.col("score") >= limits.full_keep))
-    kept_sampled = F.coalesce(F.col("previous") == SAMPLED, F.lit(False)) & (dwell | (F.col("score") >= limits.sampled_keep))
-    rows = rows.withColumn("qualifies", forced | kept_full | ((F.col("score") >= limits.full_score) & seen))
-    rows = rows.withColumns({"interesting": F.coalesce(F.col("rewards") | wide | near, F.lit(False)), "sampleable": F.col("qualifies") | kept_sampled | (F.col("score") >= limits.sampled_score), "blocked": blocked})
+    kept_full = F.coalesce(F.col("previous") == FULL, F.lit(False)) & (dwell | (F.col(points) >= millionths(limits.full_keep)))
+    kept_sampled = F.coalesce(F.col("previous") == SAMPLED, F.lit(False)) & (dwell | (F.col(points) >= millionths(limits.sampled_keep)))
+    rows = rows.withColumn("qualifies", forced | kept_full | ((F.col(points) >= millionths(limits.full_score)) & seen))
+    rows = rows.withColumns({"interesting": F.coalesce(F.col("rewards") | wide | near, F.lit(False)), "sampleable": F.col("qualifies") | kept_sampled | (F.col(points) >= millionths(limits.sampled_score)), "blocked": blocked})
     refused = F.concat(ineligible_reasons(), F.when(blocked, F.array(F.lit("forced_blocklist"))).otherwise(F.array().cast("array<string>")))
     refused = F.when(F.size(refused) == 0, F.array(F.lit("not_trade_ready"))).otherwise(refused)
-    return rows.withColumns({"reasons": F.when(F.col("eligible"), F.col("reasons")).otherwise(refused), "score": F.when(F.col("eligible"), F.col("score")).otherwise(number(0))})
+    return rows.withColumns({"reasons": F.when(F.col("eligible"), F.col("reasons")).otherwise(refused), "score": (F.when(F.col("eligible"), F.col(points)).otherwise(0).cast("decimal(18,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(18,6)")}).drop(points)
 
 
 SALTS = 16

@@ -63,13 +63,13 @@ FROM {orders}"""
 
 _SPARK_EV = "WITH ev AS (SELECT *, CAST(get_json_object(props, '$.k') AS INT) AS k, CAST(value AS DECIMAL(18, 2)) AS v FROM {events})"
 _DUCK_EV = "SELECT *, (props->>'$.k')::INT AS k, value::DECIMAL(18, 2) AS v FROM events"
-_LI = "SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS price_sum, sum(CAST(l_discount AS DECIMAL(18, 2))) AS discounts, count(*) AS lines, count(DISTINCT l_linenumber) AS n_tokens, {tokens} AS tokens FROM {lineitem} GROUP BY l_orderkey"
+_LI = "SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS price_sum, sum(CAST(l_discount AS DECIMAL(18, 2))) AS discounts, count(*) AS lines, {n_tokens} AS n_tokens, {tokens} AS tokens FROM {lineitem} GROUP BY l_orderkey"
 
 _SPARK = {
     "bk_events": f"{_SPARK_EV} {_EVENTS}",
     "md_trades": f"{_SPARK_EV} {_TRADES.replace('{text}', 'STRING')}",
     "mk_markets": "WITH li AS ("
-    + _LI.replace("{tokens}", "array_join(array_sort(collect_set(l_linenumber)), ',')")
+    + _LI.replace("{tokens}", "array_join(array_sort(collect_set(l_linenumber)), ',')").replace("{n_tokens}", "CAST(size(collect_set(l_linenumber)) AS BIGINT)")
     + ") "
     + _MARKETS.replace("{text}", "STRING").replace("{close}", "o_orderdate + INTERVAL '20 days'").replace("discounts / lines", "CAST(discounts AS DOUBLE) / lines"),
     "md_polls": f"{_SPARK_EV} {_POLLS}",
@@ -82,7 +82,7 @@ _DUCK = {
     "ev": _DUCK_EV,
     "bk_events": _EVENTS,
     "md_trades": _TRADES.replace("{text}", "VARCHAR"),
-    "li": _LI.replace("{tokens}", "array_to_string(list_sort(list(DISTINCT l_linenumber)), ',')").replace("{lineitem}", "lineitem"),
+    "li": _LI.replace("{tokens}", "array_to_string(list_sort(list(DISTINCT l_linenumber)), ',')").replace("{n_tokens}", "count(DISTINCT l_linenumber)").replace("{lineitem}", "lineitem"),
     "mk_markets": _MARKETS.replace("{text}", "VARCHAR").replace("{close}", "o_orderdate + INTERVAL 20 DAY").replace("{orders}", "orders").replace("discounts / lines", "discounts::DOUBLE / lines"),
     "md_polls": _POLLS.replace("INTERVAL '1 hour' *", "INTERVAL 1 HOUR *"),
     "ref_prices": _PRICES,
