@@ -215,6 +215,22 @@ def test_the_tables_find_most_of_what_all_pairs_give(spark, monkeypatch):
     assert len({got[i] for i in range(192, 222)}) == 1
 
 
+def test_no_pair_of_a_large_group_is_left_out(spark, monkeypatch):
+    # One key in 60 images, of which only the last two are copies: neither is among the first that all others are compared with.
+    rng = np.random.default_rng(4)
+    n = 60
+    words = rng.integers(0, 1 << 32, (n, 9, 4), dtype=np.uint32)
+    points = np.stack([rng.uniform(0, 90, (n, 9)), rng.uniform(0, 90, (n, 9)), np.ones((n, 9)), rng.uniform(-3, 3, (n, 9))], axis=2).astype(np.float32)
+    words[:, :2], points[:, :2, 3] = words[0, :2], 0.5  # two points that all have, at places of their own
+    words[n - 1, 2:], points[n - 1] = words[n - 2, 2:] ^ np.uint32(1 << 30), points[n - 2]  # a bit that every table's key has
+    images = spark.createDataFrame([(i, *image_copies.packed(points[i], words[i])) for i in range(n)], "node long, points binary, words binary").repartition(3)
+    monkeypatch.setattr(image_copies, "CROWD", 8)
+    assert (n - 2, n - 1) not in {tuple(r) for r in image_copies.candidate_pairs(images).collect()}
+    assert [tuple(sorted(r)) for r in image_copies.linked_images(images).collect()] == [(n - 2, n - 1)]
+    monkeypatch.setattr(image_copies, "CROWD", n)
+    assert [tuple(sorted(r)) for r in image_copies.linked_images(images).collect()] == [(n - 2, n - 1)]
+
+
 def test_descriptions_do_not_depend_on_the_batch():
     grey = [image_copies.render(page(i)) for i in range(5)] + [None, np.zeros((3, 300), np.float32), image_copies.render(page(7))[:70, :50]]
     together = image_copies.describe(grey)
