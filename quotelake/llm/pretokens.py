@@ -83,9 +83,8 @@ class TextEncoder:
     kept in two stores of bounded size.
     """
 
-    ROOM = 2_000_000
-
-    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 400_000):
+    def __init__(self, pattern: str, pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 400_000, room: int = 2_000_000):
+        self.room = room  # bytes of text in a slice; every slice looks its chunks up in the stores anew
         self.split, self.odd = regex.compile(pattern), unassigned()
         self.pieces, self.whole = pieces, whole
         self.seen, self.chunks = Store(limit), Store(limit)
@@ -143,7 +142,7 @@ class TextEncoder:
         size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < len(texts):
-            stop = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + self.ROOM)))
+            stop = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + self.room)))
             yield self._slice(pc.fill_null(texts.slice(start, stop - start), ""), special)
             start = stop
 

@@ -38,6 +38,8 @@ from .pretokens import TextEncoder
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 18
+#: Bytes of text that are encoded together.
+ROOM = 4_000_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -84,7 +86,7 @@ class Encoder:
     offsets and masks; texts that need more than the model go to it whole.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, room: int = ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,7 +96,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.tokenize, self.chars = self.tokenizer.model.tokenize, byte_characters()
-        self.texts = TextEncoder(public_tokenizers.PATTERN, self._pieces, self._whole)
+        self.texts = TextEncoder(public_tokenizers.PATTERN, self._pieces, self._whole, room=room)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         out = []

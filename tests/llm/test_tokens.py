@@ -107,3 +107,12 @@ def test_empty_tables(spark, tmp_path):
     assert token_counts.count_tokens(none).count() == 0
     token_files.write_token_files(none, f"file://{tmp_path}/files")
     assert token_files.read_token_files(spark, f"file://{tmp_path}/files").count() == 0
+
+
+def test_ids_do_not_depend_on_the_slices():
+    with open(public_tokenizers.path(token_files.TOKENIZER), encoding="utf-8") as f:
+        definition = f.read()
+    given = [t for t in ODD + adversarial(300) if t is not None]
+    want = each(token_files.Encoder(definition, room=1 << 30).encode(given))
+    assert each(token_files.Encoder(definition, room=50).encode(given)) == want
+    assert len(list(token_files.Encoder(definition).encode(["word " * 600_000, "more"]))) == 1
