@@ -53,6 +53,14 @@ def test_phrases_equal_brute_force(spark, least, longest, shards, slots, top):
     assert sorted(map(tuple, got.collect())) == brute_phrases(docs.collect(), least, longest, 50, top)
 
 
+def test_counted_phrases_are_grouped_by_one_string(spark):
+    blocks = spark.createDataFrame([("a\tb c", ["x", "y"], np.array([0, 1, -1, 0, 1], "<i4").tobytes())] * 2, "lang string, words array<string>, codes binary")
+    given = spark.sparkContext.broadcast(collocations.zlib.compress(np.full(1 << 15, 3, np.uint8)))
+    got = collocations.named_counts(blocks, given, 3)
+    assert {tuple(r) for r in got.collect()} == {("a\tb c", 1, "x", 4), ("a\tb c", 1, "y", 4), ("a\tb c", 2, "x y", 4)}
+    assert "keys=[key#" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_phrases_of_an_empty_table(spark):
     assert collocations.collocations(phrase_docs(spark).limit(0)).count() == 0
 
