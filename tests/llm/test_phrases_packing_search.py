@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -61,6 +62,40 @@ def test_counted_phrases_are_grouped_by_one_string(spark):
     assert "keys=[key#" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rare_phrases_go_along_no_longer_than_they_count(spark, monkeypatch):
+    kept = {}
+
+    def cut(df, name, write=collocations.cut):
+        kept[name] = (out := write(df, name)).count()
+        return out
+
+    monkeypatch.setattr(collocations, "cut", cut)
+    random.seed(9)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(random.choices(words, k=30) + ["of", "the", "same"]), "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = collocations.collocations(docs, least=10, slots=1 << 16)
+    assert sorted(map(tuple, got.collect())) == brute_phrases(docs.collect(), 10, 3, 50, 2000)
+    # The pairs of words, most of them rare, count in two scans and aren't in those after.
+    assert kept["phrases-2"] > 500 and kept["phrases-3"] < 100
+
+
+def test_a_task_counts_phrases_in_little_memory(monkeypatch):
+    random.seed(9)
+    names = pa.array([f"w{i}" for i in range(20_000)])
+    blocks = [("en", names, np.array(random.choices(range(-1, 20_000), k=100_000), "<i4")) for _ in range(12)]
+    monkeypatch.setattr(collocations, "COMBINED", 1_000_000)
+    starts = np.ones(1 << 15, np.uint8)
+    tracemalloc.start()
+    try:
+        n = sum(int(n.sum()) for _, n in collocations.counted(iter(blocks), starts, 1, 2, 3))
+        assert tracemalloc.get_traced_memory()[1] < 50 * 1_000_000
+    finally:
+        tracemalloc.stop()
+    full = [b[2] >= 0 for b in blocks]
+    assert n == sum(int(f.sum() + (f[1:] & f[:-1]).sum() + (f[2:] & f[1:-1] & f[:-2]).sum()) for f in full)
+
+
 def test_no_phrases_of_an_empty_table(spark):
     assert collocations.collocations(phrase_docs(spark).limit(0)).count() == 0
 
