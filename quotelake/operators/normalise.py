@@ -225,16 +225,17 @@ def _select(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 
-def encode_updates(rows: DataFrame) -> DataFrame:
+def encode_updates(rows: DataFrame, empty_deletes: bool = True) -> DataFrame:
     """Book changes in the archive's compact columns. rows: market, token, ts, side, action, price, size (text), and size_delta if there is one.
 
     A change that has only a delta is an addition; an addition keeps its code whatever
     its sign, any other change to nothing or less is a deletion; an unknown action sets.
+    empty_deletes: false for rows whose actions are final, which then keep them whatever the size.
     """
     delta = F.col("size_delta") if "size_delta" in rows.columns else F.lit(None).cast("string")
     size = F.coalesce(F.col("size"), delta)
     action = F.when(F.col("size").isNull() & delta.isNotNull(), s.ACTIONS["delta"]).otherwise(F.coalesce(s.code(F.col("action"), s.ACTIONS), F.lit(s.ACTIONS["set"])))
-    gone = (size.try_cast("double") <= 0) & (action != s.ACTIONS["delta"])
+    gone = F.lit(empty_deletes) & (size.try_cast("double") <= 0) & (action != s.ACTIONS["delta"])
     mantissa, scale = s.decimal_split(size)
     columns = _heads("market_key", "token_key", "received_ts_ns") | {"side": s.code(F.col("side"), s.SIDES), "action": F.when(gone, s.ACTIONS["delete"]).otherwise(action).cast("tinyint")}
     return _select(rows, columns | _decimals(price="price") | {"size_mantissa": mantissa, "size_scale": scale})

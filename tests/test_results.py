@@ -2,10 +2,12 @@
 
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quotelake.operators import health, history, normalise
+from quotelake.plans import registry
 
 T0 = datetime(2024, 1, 1)
 
@@ -107,6 +109,28 @@ def test_actions_of_compact_updates(spark):
     assert [r.size_mantissa for r in out] == [1, 0, -1, -2, 3, None, None, None]
 
 
+def zero_sets(spark, tmp_path):
+    """A folder with events of which some are set to nothing."""
+    rows = [(i, datetime(2024, 1, 11, i), 3 * i, kind, value, f'{{"k": {i}}}') for i, (kind, value) in enumerate([("view", 0.0), ("click", 0.0), ("view", 5.0), ("error", 7.0), ("purchase", 0.0), ("signup", 0.0)])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"file://{tmp_path}/events.parquet")
+    return f"file://{tmp_path}"
+
+
+def same_as_sql(spark, tmp_path, name):
+    got = registry.queries()[name](spark, zero_sets(spark, tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    columns = sorted(got.columns)
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
+    rows = sorted(map(tuple, got.select(columns).collect()))
+    assert rows == sorted(want)
+    return rows
+
+
+def test_a_scanned_set_to_nothing_stays_a_set(spark, tmp_path):
+    assert {r[0] for r in same_as_sql(spark, tmp_path, "a1_a6_scan_archive")} == {1, 2, 4}
+
+
 def test_compact_snapshots_of_broken_levels(spark):
     df = spark.createDataFrame([('[["0.1", 2, "more"], [], null, "x", {"a": 1}]', None, None), ("[]", "[[1e-3, 5]]", True)], "bids string, asks string, is_reconciliation boolean")
     for name in ("market", "token", "connection_id", "book_hash", "snapshot_type"):
