@@ -88,6 +88,32 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch):
     assert len([r for r in kept if r.text]) == len(classes)
 
 
+def test_any_two_blocks_meet_in_one_cell_of_bounded_size(spark):
+    blocks = [(g, b, n) for g, n in ((1, 2), (2, 8), (3, 37)) for b in range(n)]
+    rows = ngram_join.meetings(spark.createDataFrame(blocks, "grp long, block int, blocks int")).collect()
+    cells, copies = defaultdict(list), defaultdict(int)
+    for r in rows:
+        cells[r.grp, r.low, r.high].append((r.run, r.block))
+        copies[r.grp, r.block] += 1
+    met = [(g, *sorted((a, b))) for (g, low, high), of in cells.items() for i, (x, a) in enumerate(of) for y, b in of[i + 1 :] if low == high or x != y]
+    assert sorted(met) == sorted((g, a, b) for g, n in ((1, 2), (2, 8), (3, 37)) for b in range(n) for a in range(b))
+    assert max(map(len, cells.values())) <= 2 * ngram_join.REACH and max(copies.values()) == 5
+
+
+def test_blocks_of_small_sets_are_bounded_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CROWD", 50)
+    seen = {}
+    monkeypatch.setattr(ngram_join, "cut", lambda df, name: seen.setdefault(name, df.cache()))
+    rows = [(i, f"same four words here own{i % 300}") for i in range(600)]  # two shingles each, one of them in all texts
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = table.select(F.xxhash64("text").alias("node"), F.xxhash64("doc_id").alias("row"), "text")
+    groups = texts.select("node", F.lit(1).cast("long").alias("grp")).distinct()
+    edges = ngram_join.verified_edges(texts, groups, 4, 85)
+    assert edges.count() == 0
+    sizes = [r["count"] for r in seen["candidates"].groupBy("block").count().collect()]
+    assert sum(sizes) == 300 and max(sizes) < 100
+
+
 def test_frequent_ngrams_beyond_the_list_make_no_pairs(spark, monkeypatch):
     random.seed(3)
     base = [f"w{i}" for i in range(80)]
