@@ -114,6 +114,14 @@ def test_blocks_of_small_sets_are_bounded_by_their_number(spark, monkeypatch):
     assert sum(sizes) == 300 and max(sizes) < 100
 
 
+def test_buckets_follow_the_length_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET", 1 << 10)
+    some = spark.range(12).select(F.repeat(F.lit("word "), 100_000).alias("text"))  # about a million n-grams
+    assert [ngram_join.bucket_bits(some.coalesce(n)) for n in (1, 4)] == [10, 10]
+    assert ngram_join.bucket_bits(some.crossJoin(spark.range(4)).coalesce(1)) == 12
+    assert ngram_join.bucket_bits(some.where("false")) == 8
+
+
 def test_frequent_ngrams_beyond_the_list_make_no_pairs(spark, monkeypatch):
     random.seed(3)
     base = [f"w{i}" for i in range(80)]
