@@ -1,6 +1,6 @@
 """Stateful streams that apply a key's rows in their own order, whatever order they land in.
 
-Rows wait in list state until the watermark has passed them, then they are applied
+Rows wait in state until the watermark has passed them, then they are applied
 sorted. A row that lands after the watermark has passed it is given back as ``late``
 with the micro-batch that found it, so that nothing vanishes. Timers on event time
 release what waits and give what is due by time alone, so a key needs no new rows.
@@ -11,23 +11,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 from decimal import Decimal
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.sampling import Observed, Rule, observe
 
 
-def plain(frames: Iterator[pd.DataFrame], columns: list[tuple[str, str]]) -> list[tuple]:
-    """Rows of frames as tuples of the columns (name, type), with None where pandas holds another nothing."""
+def plain(rows: Iterator[Row], columns: list[tuple[str, str]]) -> list[tuple]:
+    """The columns (name, type) of rows as tuples."""
     out: list[tuple] = []
-    for frame in frames:
-        values = []
-        for name, kind in columns:
-            whole = kind in ("int", "long", "bigint")
-            values.append([None if v is None or (not isinstance(v, list) and pd.isna(v)) else int(v) if whole else bool(v) if kind == "boolean" else v for v in frame[name].tolist()])
-        out += zip(*values, strict=True)
+    at: list[int] = []
+    for row in rows:
+        at = at or [row.__fields__.index(name) for name, _ in columns]
+        out.append(tuple([row[i] for i in at]))
     return out
 
 
@@ -45,7 +42,9 @@ class Ordered(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", ", ".join(f"{n} {t}" for n, t in self.columns))
+        # One value with an array a column: a list would be sent and parsed row by row, each with its schema.
+        self.held = handle.getValueState("held", ", ".join(f"{n} array<{t}>" for n, t in self.columns))
+        self.out = Row(*self.key, "us", "seq", "change", *self.given)
         self.start(handle)
 
     def start(self, handle: StatefulProcessorHandle) -> None:
@@ -59,25 +58,28 @@ class Ordered(StatefulProcessor):
         """When there is something to give though no row comes, in microseconds."""
         return None
 
-    def _work(self, key: tuple, new: list[tuple], mark: int) -> Iterator[pd.DataFrame]:
+    def _work(self, key: tuple, new: list[tuple], mark: int) -> Iterator[Row]:
         late = [r for r in new if r[0] is None or r[0] < mark]
-        held = list(self.held.get()) if self.held.exists() else []
-        held = [tuple(r) for r in held] + [r for r in new if r[0] is not None and r[0] >= mark]
+        stored = self.held.get()
+        held = [*zip(*stored, strict=True)] if stored else []
+        held += [r for r in new if r[0] is not None and r[0] >= mark]
         ripe = sorted((r for r in held if r[0] < mark), key=lambda r: (r[0], r[1] is None, r[1] or 0))
         waiting = [r for r in held if r[0] >= mark]
-        if new or ripe:
-            self.held.put(waiting) if waiting else self.held.clear()
+        if waiting and (ripe or len(new) > len(late)):
+            self.held.update(tuple(list(c) for c in zip(*waiting, strict=True)))
+        elif stored and not waiting:
+            self.held.clear()
         out = [(r[0], r[1], "late", *[None] * len(self.given)) for r in late] + self.apply(key, ripe, mark)
         next_at = min((t for t in (min((r[0] for r in waiting), default=None), self.due()) if t is not None), default=None)
         if next_at is not None:
             self.handle.registerTimer(max(next_at, mark) // 1000 + 1)  # one that stands at the watermark fires, and goes when it has
-        if out:
-            yield pd.DataFrame([(*key, *r) for r in out], columns=[*self.key, "us", "seq", "change", *self.given])
+        for r in out:
+            yield self.out(*key, *r)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         yield from self._work(key, plain(rows, self.columns), 1000 * timerValues.getCurrentWatermarkInMs())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._work(key, [], 1000 * timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
@@ -94,7 +96,8 @@ class SequenceGaps(Ordered):
         self.last = handle.getValueState("last", "seq long")
 
     def apply(self, key: tuple, rows: list[tuple], mark: int) -> list[tuple]:
-        last, out = self.last.get()[0] if rows and self.last.exists() else None, []
+        before = self.last.get() if rows else None
+        last, out = before[0] if before else None, []
         for us, seq in rows:
             if seq is None:
                 continue
@@ -151,15 +154,15 @@ class ObserveBooks(Ordered):
         self.given = [n for n, _ in self.PARTS]
 
     def start(self, handle: StatefulProcessorHandle) -> None:
-        parts = ", ".join(f"{n} {t}" for n, t in self.PARTS)
-        self.book = handle.getValueState("book", f"us long, valid boolean, bid decimal(18,6), ask decimal(18,6), tier string, {parts}")
-        self.last = handle.getValueState("last", f"us long, {parts}")
+        parts, given = (", ".join(f"{p}{n} {t}" for n, t in self.PARTS) for p in ("", "given_"))
+        self.state = handle.getValueState("book", f"us long, valid boolean, bid decimal(18,6), ask decimal(18,6), tier string, {parts}, given_us long, {given}")
         self.next = None
 
     def apply(self, key: tuple, rows: list[tuple], mark: int) -> list[tuple]:
         self.next = None
-        book = tuple(self.book.get()) if self.book.exists() else None
-        last = tuple(self.last.get()) if self.last.exists() else None
+        before, width = self.state.get(), 5 + len(self.PARTS)
+        book = before[:width] if before else None
+        last = before[width:] if before and before[width] is not None else None
         seen = Observed(book and self._shown(book), last and (last[0], last[1:]))
         out = []
         for row in rows:
@@ -169,13 +172,12 @@ class ObserveBooks(Ordered):
                 seen = Observed(None, None)
         out += observe(seen, mark, seen.shown, self.rule)
         if book is None:
-            if rows:
-                self.book.clear()
-                self.last.clear()
+            if before:
+                self.state.clear()
             return [(tick, None, kind, *state) for tick, state, kind in out]
-        self.book.update(book)
-        if seen.last:
-            self.last.update((seen.last[0], *seen.last[1]))
+        after = (*book, seen.last[0], *seen.last[1]) if seen.last else (*book, *[None] * (1 + len(self.PARTS)))
+        if after != before:
+            self.state.update(after)
         self.next = seen.due(mark, self.rule)
         return [(tick, None, kind, *state) for tick, state, kind in out]
 
@@ -208,4 +210,4 @@ def by_event_time(stream: DataFrame, processor: Ordered, schema: str, time: str
     # A condition that isn't deterministic stays above the watermark, which so sees all rows. Late rows must reach the
     # processor, so the column that the watermark stands on doesn't go with them.
     rows = stream.withWatermark(time, delay).where(F.when(F.spark_partition_id() >= 0, known)).select(*processor.key, *[n for n, _ in processor.columns])
-    return rows.groupBy(*processor.key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"{keys}, us long, seq long, change string, {schema}", outputMode="Append", timeMode="EventTime")
+    return rows.groupBy(*processor.key).transformWithState(statefulProcessor=processor, outputStructType=f"{keys}, us long, seq long, change string, {schema}", outputMode="Append", timeMode="EventTime")

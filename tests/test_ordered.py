@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quotelake.operators import sampling
@@ -167,3 +168,44 @@ def test_a_batch_that_runs_twice_gives_each_row_once(spark, tmp_path):
     out = jobs.run_to_sinks(rows, f"file://{tmp_path}/out", sinks)
     assert sorted(r.seq for r in out["first"].collect()) == [1, 2]
     assert [r.seq for r in out["second"].collect()] == [2]
+
+
+def test_a_key_asks_for_its_state_once():
+    """Each call goes to the JVM and back, so a key reads and writes two values, not row by row."""
+    calls = []
+
+    class Value:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            calls.append("clear")
+            self.value = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, ms):
+            pass
+
+    class Mark:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    books = ordered.ObserveBooks(["k"], RULE)
+    books.init(Handle())
+    names = [n for n, _ in ordered.ObserveBooks.CHANGES]
+    rows = [Row(*names)(i * 1_000_000, i, 1, True, Decimal(1), Decimal(2), None, 0, Decimal(0), 0, "full") for i in range(1, 50)]
+    assert list(books.handleInputRows(("a",), iter(rows), Mark(0))) == [] and calls == ["get", "update", "get"]
+    out = list(books.handleExpiredTimer(("a",), Mark(400_000), None))
+    assert [(r.us, r.revision) for r in out] == [(30_000_000, 30), (330_000_000, 49)]
+    assert len(calls) == 7 and books.held.value is None
